@@ -99,7 +99,7 @@ def _hit_bitmap(hits: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def check_bytes(docs: DataFrame, hits: DataFrame) -> None:
+def check_bytes(docs: DataFrame, hits: DataFrame, digest_of=lambda data: hashlib.sha256(data).digest()) -> None:
     """Compares the whole bytes of all rows whose digest was met more than once; raises on a difference.
 
     Rows outside the bitmap cannot be hits and are not moved; equal bytes fold inside each task.
@@ -113,7 +113,7 @@ def check_bytes(docs: DataFrame, hits: DataFrame) -> None:
             digests, texts = [], []
             for text in batch.column(0).to_pylist():
                 data = (text or "").encode("utf-8", "surrogatepass").lower()
-                digest = hashlib.sha256(data).digest()
+                digest = digest_of(data)
                 slot = int(digest.hex()[:HIT_DIGITS], 16)
                 if bitmap[slot >> 5] >> np.uint32(slot & 31) & np.uint32(1):
                     digests.append(digest)
