@@ -142,14 +142,6 @@ def normalised(text: str) -> str:
     return text.replace("Σ", "σ").lower()
 
 
-@functools.cache
-def _unassigned() -> re.Pattern:
-    """Code points that the interpreter's tables leave unassigned; the tokenizer's tables may be newer."""
-    odd = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], odd.astype(np.int8), [0]])))
-    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b - 1))}" for a, b in zip(edges[::2], edges[1::2])) + "]")
-
-
 class Encoder:
     """Encodes texts; remembers words from one batch to the next within a bound."""
 
@@ -159,10 +151,21 @@ class Encoder:
         # for code points that only newer tables know: the file's own normaliser and split pattern, of the tokenizers library
         whole = tokenizers.Tokenizer.from_str(bpe.source)
         splitter = tokenizers.pre_tokenizers.Split(tokenizers.Regex(next(p["pattern"]["Regex"] for p in steps["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")), "removed", invert=True)
-        self.normalise = whole.normalizer.normalize_str
-        self.split = lambda chunk: [piece for piece, _ in splitter.pre_tokenize_str(chunk)] if _unassigned().search(chunk) else bpe.pattern.findall(chunk)
+        self.odd_normalise = whole.normalizer.normalize_str
+        self.odd_split = lambda chunk: [piece for piece, _ in splitter.pre_tokenize_str(chunk)]
+        self.assigned: set[str] = set()
         self.special = re.compile("(" + "|".join(map(re.escape, bpe.special)) + ")") if bpe.special else None
 
+    def known(self, text: str) -> bool:
+        """Whether the interpreter's tables know all code points."""
+        if text.isascii() or self.assigned.issuperset(text):
+            return True
+        self.assigned |= {c for c in set(text) if unicodedata.category(c) != "Cn"}
+        return self.assigned.issuperset(text)
+
+    def split(self, chunk: str) -> list[str]:
+        return self.bpe.pattern.findall(chunk) if self.known(chunk) else self.odd_split(chunk)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         rows: list[list[str | bytes]] = []
@@ -176,13 +179,13 @@ class Encoder:
                 if part in self.bpe.special:
                     row.append(np.array([self.bpe.special[part]], dtype="<u4").tobytes())
                 elif part:
-                    low = normalised(part) if part.isascii() or not _unassigned().search(part) else self.normalise(part)
+                    low = normalised(part) if self.known(part) else self.odd_normalise(part)
                     chunks = [c for c in _SPACES.split(low) if c] if _ODD_SPACES.search(low) else low.split()
                     row.append(chunks)
                     fresh.update(dict.fromkeys(c for c in chunks if c not in memory))
             rows.append(row)
         if fresh:
-            memory.update(zip(fresh, self.bpe.encode_chunks(list(fresh), lambda c: self.bpe.pattern.findall(c) if c.isascii() else self.split(c))))
+            memory.update(zip(fresh, self.bpe.encode_chunks(list(fresh), self.split)))
         known = memory.__getitem__
         return [b"".join([x if isinstance(x, bytes) else b"".join(map(known, x)) for x in row]) for row in rows]
 
@@ -192,6 +195,12 @@ def decode(bpe: Bpe, ids: np.ndarray) -> str:
     return " ".join(map(bpe.tokens.__getitem__, ids.tolist()))
 
 
+@functools.lru_cache(1)
+def _encoder(source: str) -> Encoder:
+    """One for all tasks of a worker, with the words that it remembers."""
+    return Encoder(Bpe.parse(source))
+
+
 def _read(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -219,7 +228,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("
     schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes[:-1]) + ", ids array<int>"
 
     def run(batches):
-        encoder = Encoder(Bpe.parse(file.value))
+        encoder = _encoder(file.value)
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
             for lo, hi in _slices(texts):
@@ -244,7 +253,7 @@ def decode_documents(coded: DataFrame, tokenizer: str, digests: bool = False) ->
     def run(batches):
         import hashlib
 
-        bpe = Bpe.parse(file.value)
+        bpe = _encoder(file.value).bpe
         for batch in batches:
             ids = batch.column(len(keep))
             flat = ids.values.to_numpy(zero_copy_only=False)

@@ -64,11 +64,13 @@ def smallest_capacity(sizes: list[int], shards: int) -> tuple[int, list[int]]:
 
 def _cells(groups: DataFrame, spans: list[tuple[int, int]], fanout: int) -> list[tuple[int, int, int, int]]:
     """(low, high, bytes, groups) of every non-empty part of the given spans of the hash."""
-    spark = groups.sparkSession
     width = {lo: max(1, -(-(hi - lo + 1) // fanout)) for lo, hi in spans}
-    bounds = F.broadcast(spark.createDataFrame([(lo, hi, Decimal(width[lo])) for lo, hi in spans], "lo bigint, hi bigint, width decimal(20,0)"))
+    lo, step = F.lit(None).cast("bigint"), F.lit(None).cast("decimal(20,0)")
+    for low, high in spans:
+        inside = F.col("h").between(low, high)
+        lo, step = F.when(inside, F.lit(low)).otherwise(lo), F.when(inside, F.lit(Decimal(width[low]))).otherwise(step)
+    found = groups.withColumns({"lo": lo, "width": step.cast("decimal(20,0)")}).filter("lo IS NOT NULL")
     part = F.floor((F.col("h").cast("decimal(20,0)") - F.col("lo").cast("decimal(20,0)")) / F.col("width")).cast("long")
-    found = groups.join(bounds, F.col("h").between(F.col("lo"), F.col("hi"))) if len(spans) > 1 or spans[0] != (LOW, HIGH) else groups.withColumns({"lo": F.lit(LOW), "width": F.lit(width[LOW]).cast("decimal(20,0)")})
     sums = found.select("lo", part.alias("part"), "bytes").groupBy("lo", "part").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
     highs = dict(spans)
     return sorted((r["lo"] + r["part"] * width[r["lo"]], min(highs[r["lo"]], r["lo"] + (r["part"] + 1) * width[r["lo"]] - 1), int(r["bytes"]), r["n"]) for r in sums)
