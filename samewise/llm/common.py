@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +52,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only; lower() does just that where every character is one byte."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def bitmap(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bitmap of fixed size (bits, a power of two) over a bigint column; its words come to the driver, bits / 32 at most."""
+    slot = F.pmod(F.col(column), F.lit(bits)).cast("long")
+    words = keys.select(slot.alias("slot")).selectExpr("slot div 32 AS word", "shiftleft(1L, cast(slot % 32 AS int)) AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    found = np.zeros(bits // 32, dtype=np.uint32)
+    found[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    return found
+
+
+def in_bitmap(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys.astype(np.int64) & (len(found) * 32 - 1)
+    return (found[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 == 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mpegts, shards, stream_dedup
+from . import bpe, chat, mpegts, ngram_join, shards, stream_dedup
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op3_bpe(spark, sf_dir):
     return bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path, digests=True)
 
 
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), 4, 85, 100).drop("row_key")
+
+
 def op8_mpegts(spark, sf_dir):
     return mpegts.media_digests(mpegts.write_media(table(spark, sf_dir, "documents")))
 
@@ -41,6 +45,7 @@ def op10_exact_dedup(spark, sf_dir):
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op3_bpe": op3_bpe,
+    "op4_ngram_join": op4_ngram_join,
     "op8_mpegts": op8_mpegts,
     "op9_shards": op9_shards,
     "op10_exact_dedup": op10_exact_dedup,
