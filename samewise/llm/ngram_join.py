@@ -6,11 +6,12 @@ counts over all documents in a table of fixed size. Equal sets are one class fro
 1. Candidates. Two sets that reach the threshold share an n-gram of both prefixes (the leading
    n - need + 1 in the order), so only prefixes are dealt out by n-gram. Before the first n-gram that a set
    shares with any other prefix it can have nothing in common with anyone: that bounds each overlap.
+   The n-grams that two prefixes share are counted, and pairs for which that count is too low are out.
 2. Overlaps. The order is cut into fragments. The overlap of a candidate pair is counted in each
    fragment separately and summed; pairs that the first fragment already rules out go no further.
-3. Classes. First each n-gram's rarest-free set (the leader) is tried with the others that hold that
-   n-gram, and links are joined to classes. Then all candidate pairs between different classes are
-   tried. Pairs inside a class need no trial, so a large group of near copies costs links in
+3. Classes. First one set of each n-gram (the leader, the one with the fewest n-grams of its own) is
+   tried with the others that hold that n-gram, and links are joined to classes. Then all candidate
+   pairs between different classes are tried. Pairs inside a class need no trial, so a large group of near copies costs links in
    proportion to its size while no link between classes is lost.
 
 Defined results: null and empty texts have an empty set, link with nothing and keep their own doc_id
@@ -27,11 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import bitmap, in_bitmap, stored, work_dir
+from .common import bitmap, in_bitmap, remove, stored, work_dir
 from .components import components
 
 #: Counters of n-gram frequency, bits of the filter for candidate texts, fragments of the order.
 SLOTS, FILTER_BITS, FRAGMENTS = 1 << 18, 1 << 24, 4
+#: Sets of each n-gram that are tried with all others that hold it.
+LEADERS = 3
 #: Words whose hashes a task keeps.
 WORD_CACHE = 500_000
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -210,27 +213,52 @@ def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         .select("token", "node", "pos", "n")
     )
     shared = stored(shared, f"{home}/shared")
-    starts = shared.groupBy("node").agg(F.min("pos").alias("s"))
-    keys = stored(shared.join(starts, "node").select("token", "node", "n", "s"), f"{home}/keys")
-
-    wanted = rows.groupBy("digest").agg(F.min("row_key").alias("row_key")).join(starts.select(F.col("node").alias("digest")), "digest")
-    fragments = _fragments(docs, size, ranks, pivots, bitmap(wanted, "row_key", FILTER_BITS))
-    fragments = stored(fragments.dropDuplicates(["node", "part"]), f"{home}/fragments")
+    # s: n-grams before the first shared one; own: n-grams of the prefix that no other prefix holds
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(num) / F.lit(den)) + 1
+    starts = shared.groupBy("node").agg(F.min("pos").alias("s"), (F.first(prefix) - F.count(F.lit(1))).alias("own"))
+    keys = stored(shared.join(starts, "node").select("token", "node", "pos", "n", "s", "own"), f"{home}/keys")
 
     bound = F.least(F.col("nu") - F.col("su"), F.col("nv") - F.col("sv"))
-    may = _reach(F.col("nu"), F.col("nv"), bound, num, den)
-    lead = F.first(F.struct("node", "n", "s")).over(by_token.orderBy("s", "node"))
-    stars = keys.withColumn("l", lead).select(F.col("l.node").alias("u"), F.col("l.n").alias("nu"), F.col("l.s").alias("su"), F.col("node").alias("v"), F.col("n").alias("nv"), F.col("s").alias("sv"))
-    stars = stars.filter(F.col("u") != F.col("v")).filter(may).select("u", "v").distinct()
-    links = stored(_links(stars, fragments, num, den), f"{home}/links-1")
+    # a pair that shares `alpha` n-grams shares one before the last alpha - 1 of either set
+    alpha = F.expr(f"({num}L * (nu + nv) + {num + den - 1}) div {num + den}")
+    may = _reach(F.col("nu"), F.col("nv"), bound, num, den) & (F.col("pu") <= F.col("nu") - alpha) & (F.col("pv") <= F.col("nv") - alpha)
+    prefixes = stored(keys.groupBy("node").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens")), f"{home}/prefixes")
+    # with c n-grams in common among whole prefixes, at most c + need - 1 can be common in all
+    need = F.ceil(F.greatest("nu", "nv") * F.lit(num) / F.lit(den))
+    most = F.least("nu", "nv", F.size(F.array_intersect("tu", "tv")) + need - 1)
+
+    def screened(rows_: DataFrame) -> DataFrame:
+        pairs = rows_.filter(may).select("u", "v").distinct()
+        return pairs.join(prefixes.toDF("u", "nu", "tu"), "u").join(prefixes.toDF("v", "nv", "tv"), "v").filter(_reach(F.col("nu"), F.col("nv"), most, num, den)).select("u", "v")
+
+    def linked(pairs: DataFrame, number: int) -> DataFrame:
+        """Links among candidate pairs; only the sets of these pairs are fetched from the texts."""
+        pairs = stored(pairs, f"{home}/pairs-{number}")
+        nodes = pairs.select(F.col("u").alias("digest")).union(pairs.select(F.col("v").alias("digest"))).distinct()
+        wanted = rows.groupBy("digest").agg(F.min("row_key").alias("row_key")).join(nodes, "digest")
+        fragments = _fragments(docs, size, ranks, pivots, bitmap(wanted, "row_key", FILTER_BITS))
+        fragments = stored(fragments.join(nodes.toDF("node"), "node", "left_semi").dropDuplicates(["node", "part"]), f"{home}/fragments-{number}")
+        found = stored(_links(pairs, fragments, num, den), f"{home}/links-{number}")
+        remove(spark, f"{home}/fragments-{number}")
+        return found
+
+    first = by_token.orderBy("own", "node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = ("node", "n", "s", "pos")
+    stars = (
+        keys.withColumns({f"l{i}": F.nth_value(F.struct(*held), i + 1).over(first) for i in range(LEADERS)})
+        .withColumn("l", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])))
+        .filter("l IS NOT NULL")
+        .select(*[F.col(f"l.{c}").alias(to) for c, to in zip(held, ("u", "nu", "su", "pu"))], *[F.col(c).alias(to) for c, to in zip(held, ("v", "nv", "sv", "pv"))])
+        .filter(F.col("u") != F.col("v"))
+    )
+    links = linked(screened(stars), 1)
     roots = components(links, f"{home}/classes-1")
 
-    classed = keys.join(roots, "node", "left").select("token", "node", "n", "s", F.coalesce("root", "node").alias("class"))
+    classed = keys.join(roots, "node", "left").select("token", *held, F.coalesce("root", "node").alias("class"))
     classed = classed.withColumns({"low": F.min("class").over(by_token), "high": F.max("class").over(by_token)}).filter("low <> high").drop("low", "high")
     classed = stored(classed, f"{home}/classed")
-    u, v = (classed.select("token", *[F.col(c).alias(to) for c, to in zip(("node", "n", "s", "class"), names)]) for names in (("u", "nu", "su", "cu"), ("v", "nv", "sv", "cv")))
-    crossing = u.join(v, "token").filter("u < v AND cu <> cv").filter(may).select("u", "v").distinct()
-    more = stored(_links(crossing, fragments, num, den), f"{home}/links-2")
+    u, v = (classed.select("token", *[F.col(c).alias(to) for c, to in zip((*held, "class"), names)]) for names in (("u", "nu", "su", "pu", "cu"), ("v", "nv", "sv", "pv", "cv")))
+    more = linked(screened(u.join(v, "token").filter("u < v AND cu <> cv")), 2)
     roots = components(links.unionAll(more), f"{home}/classes-2")
 
     named = rows.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").select("doc_id", "row_key", "n", F.coalesce("root", "digest").alias("class"))
