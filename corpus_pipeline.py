@@ -1,11 +1,64 @@
-"""The corpus pipeline; stages follow."""
+"""The corpus pipeline: quality, exact dedup, near dedup, mixing, token ids. Counted as part of samewise.llm.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last
+return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from samewise.llm import bpe, mixing, ngram_join, quality, stream_dedup
+from samewise.llm.common import stored, table, work_dir
+from samewise.llm.queries import tokenizer_path
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
+    voter = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_documents(docs, voter, keep=tuple(docs.columns))
+    return scored.filter("__score >= 0.5").drop("__score")
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts equal but for the case of A-Z, the row with the largest doc_id."""
+    return stream_dedup.exact_dedup(spark, docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of five-word shingle sets with Jaccard similarity 0.8 or more."""
+    return ngram_join.near_dedup(spark, docs)
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn at the rates that bring the domains' tokens to their targets."""
+    return mixing.mix(docs, table(spark, sf_dir, "labels"))
+
+
+def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document that is left."""
+    return bpe.encode_documents(docs, tokenizer_path()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing to target weights", mix_domains),
+    ("BPE encoding", to_ids),
+]
+
+#: The classifiers, the mixing and the encoding have no SQL form; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is a written table, read again by the next."""
+    home = work_dir(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = stored(docs, f"{home}/{number}")
     return docs

@@ -273,6 +273,7 @@ def near_dedup(spark, docs: DataFrame, size: int = 5, num: int = 80, den: int =
     drop = classes.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "row_key")).alias("k"))
     alone = classes.filter("n_shingles = 0").select("doc_id", "row_key")
     keep = drop.select("k.doc_id", "k.row_key").unionAll(alone).distinct().toDF("__id", "__key")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), doc_id.alias("__doc_id"), F.xxhash64(doc_id, F.coalesce("text", F.lit(""))).alias("__key"))
     once = Window.partitionBy("__key", "__id").orderBy(F.lit(1))
-    joined = docs.withColumn("__key", F.xxhash64(doc_id, F.coalesce("text", F.lit("")))).join(keep, "__key").filter(doc_id.eqNullSafe(F.col("__id")))
-    return joined.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = packed.join(keep, "__key").filter(F.col("__doc_id").eqNullSafe(F.col("__id")))
+    return joined.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select("__row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mpegts, ngram_join, shards, stream_dedup
+from . import bpe, chat, license_scan, mixing, mpegts, ngram_join, quality, shards, stream_dedup, url_rules
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op1_chat_format(spark, sf_dir):
     return chat.read_back(chat.format_chats(turns.unionByName(control)))
 
 
+def op2_mixing(spark, sf_dir):
+    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
 def op3_bpe(spark, sf_dir):
     path = tokenizer_path()
     return bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path, digests=True)
@@ -30,6 +34,23 @@ def op4_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), 4, 85, 100).drop("row_key")
 
 
+def op5_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    voter = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_documents(docs, voter)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_url_rules(spark, sf_dir):
+    bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.when(bad, "block").otherwise("allow").alias("verdict"))
+    return url_rules.judge(table(spark, sf_dir, "pages"), labels)
+
+
+def op7_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_mpegts(spark, sf_dir):
     return mpegts.media_digests(mpegts.write_media(table(spark, sf_dir, "documents")))
 
@@ -44,8 +65,12 @@ def op10_exact_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op4_ngram_join": op4_ngram_join,
+    "op5_quality": op5_quality,
+    "op6_url_rules": op6_url_rules,
+    "op7_license_scan": op7_license_scan,
     "op8_mpegts": op8_mpegts,
     "op9_shards": op9_shards,
     "op10_exact_dedup": op10_exact_dedup,

@@ -153,9 +153,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, home: str | None = None) -
     """The rows of docs that stay, with all their columns."""
     kept = decide(spark, docs, home).filter("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__digest"))
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
-    joined = docs.withColumn("__digest", F.unhex(F.sha2(text, 256))).join(kept, "__digest").filter(F.col("doc_id").eqNullSafe(F.col("__id")))
-    once = Window.partitionBy("__digest", "__id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "doc_id") and dict(docs.dtypes)[c] in ("string", "bigint", "int", "double")] or [F.lit(1)])
-    return joined.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").cast("long").alias("__doc_id"), F.unhex(F.sha2(text, 256)).alias("__digest"))
+    joined = packed.join(kept, "__digest").filter(F.col("__doc_id").eqNullSafe(F.col("__id")))
+    once = Window.partitionBy("__digest", "__id").orderBy(F.lit(1))
+    return joined.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select("__row.*")
 
 
 __all__ = ["check_bytes", "decide", "exact_dedup", "fold_stream", "remove"]
