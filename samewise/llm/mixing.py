@@ -6,11 +6,11 @@ posteriors p. Rates r >= 0 are then sought for which the expected tokens sum(r *
 domain match the targets: least squares by projected gradient steps from r = 1, in the metric of the
 domains' Gram matrix. A step is one small vector, so the rate of a document follows from its posteriors
 and the list of steps; each iteration is one aggregation over the table of posteriors that brings a few
-numbers to the driver.
+numbers to the driver. A domain that no document belongs to cannot be filled: its target is 0.
 
 Defined results: null and empty texts have no tokens and the posteriors of their features; null
-labels are not learned from; a domain without labelled rows has posterior 0, and without any labels
-all domains have the same; repeated rows are separate rows with equal rates; an empty table gives an
+labels are not learned from; a domain with fewer than LEAST_ROWS labelled rows has posterior 0, and without any
+modelled domain all have the same; repeated rows are separate rows with equal rates; an empty table gives an
 empty result; further columns are not read, except that mix() returns them.
 """
 
@@ -28,6 +28,9 @@ TARGETS = {"plain": 0.97, "poor": 0.015, "toxic": 0.015}
 SAMPLE_PER_DOMAIN, LEXICON, STEPS, TOLERANCE = 1500, 48, 30, 1e-7
 MARKS = "|$%&*#!"
 FLOOR = 1e-3
+SURPRISE = 6.0
+#: A domain with fewer labelled rows among the documents is not modelled.
+LEAST_ROWS = 10
 
 
 def domain_of() -> Column:
@@ -49,18 +52,20 @@ def _chosen(labels: DataFrame) -> DataFrame:
 
 
 def lexicons(sample: DataFrame) -> dict[str, list[str]]:
-    """For each domain but the first the words (LEXICON at most) that most raise its odds; in 1 % of its documents at least."""
+    """For each domain but the first the words (LEXICON at most) whose share of documents stands out most (z of SURPRISE or more)."""
     sizes = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().collect()}
     each = sample.select("domain", F.explode(F.array_distinct("words")).alias("word")).groupBy("word").pivot("domain", list(DOMAINS)).count().na.fill(0)
     found = {}
     for d in DOMAINS[1:]:
-        if not sizes.get(d):
+        if sizes.get(d, 0) < LEAST_ROWS:
             found[d] = []
             continue
         others = sum(n for k, n in sizes.items() if k != d)
         rest = sum((F.col(k) for k in DOMAINS if k != d), F.lit(0))
-        odds = F.log((F.col(d) + 0.5) / (sizes[d] + 1.0)) - F.log((rest + 0.5) / (others + 1.0))
-        rows = each.filter(F.col(d) >= max(3, 0.01 * sizes[d])).select("word", odds.alias("odds")).filter("odds > 1.5").orderBy(F.desc("odds"), "word").limit(LEXICON).collect()
+        share, base = F.col(d) / sizes[d], rest / max(1, others)
+        pooled = (F.col(d) + rest) / (sizes[d] + others)
+        surprise = (share - base) / F.sqrt(pooled * (1 - pooled) * (1.0 / sizes[d] + 1.0 / max(1, others)) + 1e-12)
+        rows = each.filter(F.col(d) >= max(5, 0.01 * sizes[d])).select("word", surprise.alias("z")).filter(F.col("z") >= SURPRISE).orderBy(F.desc("z"), "word").limit(LEXICON).collect()
         found[d] = [r["word"] for r in rows]
     return found
 
@@ -90,7 +95,7 @@ def fit(docs: DataFrame, labels: DataFrame, home: str) -> dict:
     named = sample.select("domain", *[c.alias(k) for k, c in cols.items()])
     stats = named.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), *[F.avg(k).alias(f"m_{k}") for k in cols], *[F.var_pop(k).alias(f"v_{k}") for k in cols]).collect()
     counts = {r["domain"]: r["count"] for r in labels.select(domain_of().alias("domain")).filter("domain IS NOT NULL").groupBy("domain").count().collect()}
-    return {"lexicons": known, "stats": {r["domain"]: {k: (r[f"m_{k}"], max(FLOOR, r[f"v_{k}"])) for k in cols} for r in stats}, "counts": counts}
+    return {"lexicons": known, "stats": {r["domain"]: {k: (r[f"m_{k}"], max(FLOOR, r[f"v_{k}"])) for k in cols} for r in stats if r["n"] >= LEAST_ROWS}, "counts": counts}
 
 
 def posteriors(model: dict, cols: dict[str, Column]) -> dict[str, Column]:
@@ -149,7 +154,7 @@ def fit_rates(table: DataFrame, targets: dict[str, float], steps_most: int = STE
 
     totals, gram = measure([])
     weights = np.array([targets[d] for d in DOMAINS], dtype=float)
-    goal = weights / weights[0] * totals[0] if weights[0] > 0 else weights * totals.sum()
+    goal = np.where(totals > 0, weights / weights[0] * totals[0] if weights[0] > 0 else weights * totals.sum(), 0.0)
     steps: list[list[float]] = []
     scale, length = max(1.0, goal.sum()), 1.0
     loss = lambda t: float(((t - goal) ** 2).sum())
