@@ -122,8 +122,10 @@ def membership(docs: DataFrame, model: dict) -> DataFrame:
     """docs with n_tokens and p_<domain>; helper columns carry names of two underscores."""
     text = F.coalesce(F.col("text"), F.lit(""))
     cols = features(F.col("__text"), F.col("__words"), model["lexicons"])
-    df = docs.withColumns({"__text": text}).withColumns({"__words": words_of(F.col("__text"))})
-    df = df.withColumns({"__n_tokens": F.size("__words").cast("long"), **{k: c for k, c in cols.items()}})
+    # the barriers keep Catalyst from writing the words and features out anew wherever they are used
+    barrier = F.monotonically_increasing_id()
+    df = docs.withColumns({"__text": text}).withColumns({"__words": words_of(F.col("__text")), "__barrier_1": barrier})
+    df = df.withColumns({"__n_tokens": F.size("__words").cast("long"), "__barrier_2": barrier, **cols})
     found = posteriors(model, cols)
     df = df.withColumns({f"__l_{d}": c for d, c in found.pop("logs", {}).items()}) if "logs" in found else df
     return df.withColumns({f"__p_{d}": found[d] for d in DOMAINS})

@@ -213,18 +213,23 @@ def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         .select("token", "node", "pos", "n")
     )
     shared = stored(shared, f"{home}/shared")
-    # s: n-grams before the first shared one; own: n-grams of the prefix that no other prefix holds
+    # s: n-grams before the first shared one; own and held: n-grams of the prefix that no other prefix holds, and that one does
     prefix = F.col("n") - F.ceil(F.col("n") * F.lit(num) / F.lit(den)) + 1
-    starts = shared.groupBy("node").agg(F.min("pos").alias("s"), (F.first(prefix) - F.count(F.lit(1))).alias("own"))
-    keys = stored(shared.join(starts, "node").select("token", "node", "pos", "n", "s", "own"), f"{home}/keys")
+    starts = shared.groupBy("node").agg(F.min("pos").alias("s"), (F.first(prefix) - F.count(F.lit(1))).alias("own"), F.count(F.lit(1)).alias("held"))
+    keys = shared.join(starts, "node").select("token", "node", "pos", "n", "s", "own", "held")
+    # n-grams that the same sets hold yield the same pairs: one entry stands for them, at each set's first place
+    holders = F.xxhash64(F.count(F.lit(1)).over(by_token), F.bit_xor(F.xxhash64("node")).over(by_token), F.bit_xor(F.xxhash64("node", F.lit(1))).over(by_token))
+    same = keys.withColumn("same", holders).groupBy(F.col("same").alias("token"), "node").agg(F.min("pos").alias("pos"), *[F.first(c).alias(c) for c in ("n", "s", "own", "held")])
+    same = stored(same, f"{home}/same")
 
     bound = F.least(F.col("nu") - F.col("su"), F.col("nv") - F.col("sv"))
+    # with c n-grams in common among whole prefixes, at most c + need - 1 can be common in all
+    need = F.ceil(F.greatest("nu", "nv") * F.lit(num) / F.lit(den))
+    bound = F.least(bound, F.least("hu", "hv") + need - 1)
     # a pair that shares `alpha` n-grams shares one before the last alpha - 1 of either set
     alpha = F.expr(f"({num}L * (nu + nv) + {num + den - 1}) div {num + den}")
     may = _reach(F.col("nu"), F.col("nv"), bound, num, den) & (F.col("pu") <= F.col("nu") - alpha) & (F.col("pv") <= F.col("nv") - alpha)
-    prefixes = stored(keys.groupBy("node").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens")), f"{home}/prefixes")
-    # with c n-grams in common among whole prefixes, at most c + need - 1 can be common in all
-    need = F.ceil(F.greatest("nu", "nv") * F.lit(num) / F.lit(den))
+    prefixes = stored(shared.groupBy("node").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens")), f"{home}/prefixes")
     most = F.least("nu", "nv", F.size(F.array_intersect("tu", "tv")) + need - 1)
 
     def screened(rows_: DataFrame) -> DataFrame:
@@ -243,21 +248,21 @@ def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         return found
 
     first = by_token.orderBy("own", "node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    held = ("node", "n", "s", "pos")
+    kept = ("node", "n", "s", "pos", "held")
     stars = (
-        keys.withColumns({f"l{i}": F.nth_value(F.struct(*held), i + 1).over(first) for i in range(LEADERS)})
+        same.withColumns({f"l{i}": F.nth_value(F.struct(*kept), i + 1).over(first) for i in range(LEADERS)})
         .withColumn("l", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])))
         .filter("l IS NOT NULL")
-        .select(*[F.col(f"l.{c}").alias(to) for c, to in zip(held, ("u", "nu", "su", "pu"))], *[F.col(c).alias(to) for c, to in zip(held, ("v", "nv", "sv", "pv"))])
+        .select(*[F.col(f"l.{c}").alias(to) for c, to in zip(kept, ("u", "nu", "su", "pu", "hu"))], *[F.col(c).alias(to) for c, to in zip(kept, ("v", "nv", "sv", "pv", "hv"))])
         .filter(F.col("u") != F.col("v"))
     )
     links = linked(screened(stars), 1)
     roots = components(links, f"{home}/classes-1")
 
-    classed = keys.join(roots, "node", "left").select("token", *held, F.coalesce("root", "node").alias("class"))
+    classed = same.join(roots, "node", "left").select("token", *kept, F.coalesce("root", "node").alias("class"))
     classed = classed.withColumns({"low": F.min("class").over(by_token), "high": F.max("class").over(by_token)}).filter("low <> high").drop("low", "high")
     classed = stored(classed, f"{home}/classed")
-    u, v = (classed.select("token", *[F.col(c).alias(to) for c, to in zip((*held, "class"), names)]) for names in (("u", "nu", "su", "pu", "cu"), ("v", "nv", "sv", "pv", "cv")))
+    u, v = (classed.select("token", *[F.col(c).alias(to) for c, to in zip((*kept, "class"), names)]) for names in (("u", "nu", "su", "pu", "hu", "cu"), ("v", "nv", "sv", "pv", "hv", "cv")))
     more = linked(screened(u.join(v, "token").filter("u < v AND cu <> cv")), 2)
     roots = components(links.unionAll(more), f"{home}/classes-2")
 

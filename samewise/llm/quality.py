@@ -59,19 +59,26 @@ class Voter:
     """Fitted on terms x (rows) and labels y of 0 and 1."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.used = np.flatnonzero((x > 0).any(axis=0))
+        x = x[:, self.used]
         self.idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
         self.mean = (x * self.idf).mean(axis=0)
-        _, _, basis = np.linalg.svd(x * self.idf - self.mean, full_matrices=False)
-        self.basis = np.ascontiguousarray(basis[:DIMENSIONS].T.astype(np.float32))
-        self.vectors = self.project(x)
+        x = x * self.idf - self.mean
+        # the right singular vectors, by the small square matrix
+        _, basis = np.linalg.eigh(x.T.astype(np.float64) @ x)
+        self.basis = np.ascontiguousarray(basis[:, ::-1][:, :DIMENSIONS].astype(np.float32))
+        self.vectors = self._unit(x @ self.basis)
         self.labels = y.astype(np.float32)
         # both classes weigh the same, whatever their shares in the sample
         share = max(1e-9, self.labels.mean())
         self.weights = np.where(self.labels > 0, 0.5 / share, 0.5 / max(1e-9, 1 - share)).astype(np.float32)
 
+    @staticmethod
+    def _unit(x: np.ndarray) -> np.ndarray:
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
     def project(self, x: np.ndarray) -> np.ndarray:
-        found = (x * self.idf - self.mean) @ self.basis
-        return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-9)
+        return self._unit((x[:, self.used] * self.idf - self.mean) @ self.basis)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         cosines = self.project(x) @ self.vectors.T
@@ -100,8 +107,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Voter | N
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("y", "text").mapInArrow(run, "y int, x binary").limit(2 * SAMPLE_PER_CLASS).toArrow()
     if not rows.num_rows:
         return None
-    x = np.stack([np.frombuffer(b.as_py(), dtype=np.float32) for b in rows["x"]])
-    return Voter(x, rows["y"].to_numpy())
+    x = np.empty((rows.num_rows, TERMS), dtype=np.float32)
+    for i, b in enumerate(rows["x"]):
+        x[i] = np.frombuffer(b.as_buffer(), dtype=np.float32)
+    y = rows["y"].to_numpy()
+    del rows
+    return Voter(x, y)
 
 
 def score_documents(docs: DataFrame, voter: Voter | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
