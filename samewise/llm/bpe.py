@@ -26,8 +26,10 @@ import regex
 import tokenizers
 from pyspark.sql import DataFrame
 
+from .common import small_batches
+
 #: Words that a task keeps encoded; beyond it the memory is emptied and filled anew.
-WORD_CACHE = 400_000
+WORD_CACHE = 150_000
 #: Separators that str.split knows besides those of the pattern's white space.
 _ODD_SPACES = re.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -223,6 +225,7 @@ def _slices(texts: list[str | None]):
 
 def encode_documents(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep columns and ids (array of int) of each row's text. tokenizer: the file's place on the driver."""
+    small_batches(docs.sparkSession)
     file = docs.sparkSession.sparkContext.broadcast(_read(tokenizer))
     source = docs.select(*[f"`{c}`" for c in keep], "text")
     schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes[:-1]) + ", ids array<int>"

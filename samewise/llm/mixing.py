@@ -52,7 +52,7 @@ def _chosen(labels: DataFrame) -> DataFrame:
 
 
 def lexicons(sample: DataFrame) -> dict[str, list[str]]:
-    """For each domain but the first the words (LEXICON at most) whose share of documents stands out most (z of SURPRISE or more)."""
+    """For each domain but the first the words (LEXICON at most) whose share of documents stands out most against each other domain (twice it, z of SURPRISE or more)."""
     sizes = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().collect()}
     each = sample.select("domain", F.explode(F.array_distinct("words")).alias("word")).groupBy("word").pivot("domain", list(DOMAINS)).count().na.fill(0)
     found = {}
@@ -60,11 +60,13 @@ def lexicons(sample: DataFrame) -> dict[str, list[str]]:
         if sizes.get(d, 0) < LEAST_ROWS:
             found[d] = []
             continue
-        others = sum(n for k, n in sizes.items() if k != d)
-        rest = sum((F.col(k) for k in DOMAINS if k != d), F.lit(0))
-        share, base = F.col(d) / sizes[d], rest / max(1, others)
-        pooled = (F.col(d) + rest) / (sizes[d] + others)
-        surprise = (share - base) / F.sqrt(pooled * (1 - pooled) * (1.0 / sizes[d] + 1.0 / max(1, others)) + 1e-12)
+        share, against = F.col(d) / sizes[d], []
+        for k in DOMAINS:
+            if k != d and sizes.get(k):
+                pooled = (F.col(d) + F.col(k)) / (sizes[d] + sizes[k])
+                z = (share - F.col(k) / sizes[k]) / F.sqrt(pooled * (1 - pooled) * (1.0 / sizes[d] + 1.0 / sizes[k]) + 1e-12)
+                against.append(F.when(share >= 2 * F.col(k) / sizes[k], z).otherwise(0.0))
+        surprise = F.least(*against) if len(against) > 1 else against[0] if against else F.lit(0.0)
         rows = each.filter(F.col(d) >= max(5, 0.01 * sizes[d])).select("word", surprise.alias("z")).filter(F.col("z") >= SURPRISE).orderBy(F.desc("z"), "word").limit(LEXICON).collect()
         found[d] = [r["word"] for r in rows]
     return found
@@ -122,10 +124,8 @@ def membership(docs: DataFrame, model: dict) -> DataFrame:
     """docs with n_tokens and p_<domain>; helper columns carry names of two underscores."""
     text = F.coalesce(F.col("text"), F.lit(""))
     cols = features(F.col("__text"), F.col("__words"), model["lexicons"])
-    # the barriers keep Catalyst from writing the words and features out anew wherever they are used
-    barrier = F.monotonically_increasing_id()
-    df = docs.withColumns({"__text": text}).withColumns({"__words": words_of(F.col("__text")), "__barrier_1": barrier})
-    df = df.withColumns({"__n_tokens": F.size("__words").cast("long"), "__barrier_2": barrier, **cols})
+    df = docs.withColumns({"__text": text}).withColumns({"__words": words_of(F.col("__text"))})
+    df = df.withColumns({"__n_tokens": F.size("__words").cast("long"), **cols})
     found = posteriors(model, cols)
     df = df.withColumns({f"__l_{d}": c for d, c in found.pop("logs", {}).items()}) if "logs" in found else df
     return df.withColumns({f"__p_{d}": found[d] for d in DOMAINS})
@@ -174,27 +174,29 @@ def fit_rates(table: DataFrame, targets: dict[str, float], steps_most: int = STE
     return steps, {"targets": dict(zip(DOMAINS, goal.tolist())), "totals": dict(zip(DOMAINS, totals.tolist()))}
 
 
-def chance(doc_id: Column, text: Column) -> Column:
-    """A number in [0, 1) that doc_id and text decide."""
-    return F.pmod(F.xxhash64(doc_id.cast("long"), F.coalesce(text, F.lit("")), F.lit(2)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A hash of doc_id and text; its last bits also serve as the number in [0, 1) that a rate is held against."""
+    return F.xxhash64(doc_id.cast("long"), F.coalesce(text, F.lit("")), F.lit(2))
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, home: str | None = None) -> tuple[DataFrame, dict]:
-    """(doc_id, n_tokens, p_*, rate, copies) of every row, and the fit's report; copies = the rate rounded at random."""
+    """(doc_id, n_tokens, p_*, row_key, u, rate, copies) of every row, and the fit's report; copies = the rate rounded at random."""
     home = home or work_dir(docs.sparkSession, "mixing")
     model = fit(docs, labels, home)
     soft = membership(docs.select("doc_id", "text"), model)
-    table = stored(soft.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__n_tokens").alias("n_tokens"), *[F.col(f"__p_{d}").alias(f"p_{d}") for d in DOMAINS], chance(F.col("doc_id"), F.col("text")).alias("u")), f"{home}/posteriors")
+    table = stored(soft.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__n_tokens").alias("n_tokens"), *[F.col(f"__p_{d}").alias(f"p_{d}") for d in DOMAINS], row_key(F.col("doc_id"), F.col("text")).alias("row_key")), f"{home}/posteriors")
+    table = table.withColumn("u", F.pmod("row_key", F.lit(1 << 20)) / F.lit(float(1 << 20)))
     steps, report = fit_rates(table, targets)
     r = rate(steps, [F.col(f"p_{d}") for d in DOMAINS])
     found = table.withColumn("rate", r).withColumn("copies", (F.floor("rate") + (F.col("u") < F.col("rate") - F.floor("rate")).cast("int")).cast("long"))
-    return found.drop("u"), report | {"model": model, "steps": steps}
+    return found, report | {"model": model, "steps": steps}
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """The rows of docs drawn without replacement: a row stays if its chance is below its rate."""
-    _, report = rates(docs, labels, targets)
-    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
-    soft = membership(packed, report["model"])
-    keep = chance(F.col("doc_id"), F.col("text")) < rate(report["steps"], [F.col(f"__p_{d}") for d in DOMAINS])
-    return soft.filter(keep).select("__row.*")
+    """The rows of docs drawn without replacement: a row stays if its chance u is below its rate.
+
+    The choice is read from the stored table, so texts are not taken apart a second time.
+    """
+    chosen = rates(docs, labels, targets)[0].filter("u < rate").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).distinct()
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").cast("long").alias("__doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("__key"))
+    return packed.join(chosen, "__key").filter(F.col("__doc_id").eqNullSafe(F.col("__id"))).select("__row.*")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import bitmap, in_bitmap, remove, stored, work_dir
+from .common import bitmap, in_bitmap, remove, small_batches, stored, work_dir
 from .components import components
 
 #: Counters of n-gram frequency, bits of the filter for candidate texts, fragments of the order.
@@ -36,7 +36,7 @@ SLOTS, FILTER_BITS, FRAGMENTS = 1 << 18, 1 << 24, 4
 #: Sets of each n-gram that are tried with all others that hold it.
 LEADERS = 3
 #: Words whose hashes a task keeps.
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -199,6 +199,7 @@ def _links(pairs: DataFrame, fragments: DataFrame, num: int, den: int) -> DataFr
 def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, home: str | None = None) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id (smallest doc_id that links of num/den Jaccard or more reach) of every row."""
     spark = docs.sparkSession
+    small_batches(spark)
     home = home or work_dir(spark, "ngrams")
     sets = stored(_sets(docs, size), f"{home}/sets")
     ranks, pivots = _order(sets)

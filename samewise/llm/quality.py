@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 SAMPLE_PER_CLASS, DIMENSIONS, NEIGHBOURS, POWER, BLOCK = 2000, 48, 15, 8, 512
 
 
@@ -117,6 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Voter | N
 
 def score_documents(docs: DataFrame, voter: Voter | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep columns and score (0 to 1, higher: label 1 is likelier) of every row."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(voter)
     source = docs.select(*[f"`{c}`" for c in keep], F.col("text").alias("__text"))
     schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes[:-1]) + ", __score double"

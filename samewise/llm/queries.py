@@ -22,7 +22,7 @@ def op1_chat_format(spark, sf_dir):
 
 
 def op2_mixing(spark, sf_dir):
-    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0].drop("row_key", "u")
 
 
 def op3_bpe(spark, sf_dir):

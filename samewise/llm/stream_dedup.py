@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_lower, remove, stored, work_dir
+from .common import ascii_lower, remove, small_batches, stored, work_dir
 
 SPOOL = T.StructType(
     [
@@ -47,7 +47,9 @@ def _state_session(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+        "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+        "spark.sql.streaming.stateStore.maintenanceInterval": "15s",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
         "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"),
     }.items():
@@ -129,6 +131,7 @@ def check_bytes(docs: DataFrame, hits: DataFrame, digest_of=lambda data: hashlib
 
 def decide(spark: SparkSession, docs: DataFrame, home: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256; see the module's docstring."""
+    small_batches(spark)
     home = home or work_dir(spark, "dedup")
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     locator = F.concat_ws("#", F.input_file_name(), F.input_file_block_start().cast("string"))
