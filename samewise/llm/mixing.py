@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, work_dir
+from .common import remove, stored, work_dir
 
 DOMAINS = ("plain", "poor", "toxic")
 #: Shares of tokens aimed at; the first domain keeps its present tokens and so sets the budget.
@@ -183,6 +183,7 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     """(doc_id, n_tokens, p_*, row_key, u, rate, copies) of every row, and the fit's report; copies = the rate rounded at random."""
     home = home or work_dir(docs.sparkSession, "mixing")
     model = fit(docs, labels, home)
+    remove(docs.sparkSession, f"{home}/sample")
     soft = membership(docs.select("doc_id", "text"), model)
     table = stored(soft.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__n_tokens").alias("n_tokens"), *[F.col(f"__p_{d}").alias(f"p_{d}") for d in DOMAINS], row_key(F.col("doc_id"), F.col("text")).alias("row_key")), f"{home}/posteriors")
     table = table.withColumn("u", F.pmod("row_key", F.lit(1 << 20)) / F.lit(float(1 << 20)))

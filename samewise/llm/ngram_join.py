@@ -267,6 +267,8 @@ def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     more = linked(screened(u.join(v, "token").filter("u < v AND cu <> cv")), 2)
     roots = components(links.unionAll(more), f"{home}/classes-2")
 
+    for done in ("shared", "same", "prefixes", "classed", "pairs-1", "pairs-2", "links-1", "links-2", "classes-1"):
+        remove(spark, f"{home}/{done}")
     named = rows.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").select("doc_id", "row_key", "n", F.coalesce("root", "digest").alias("class"))
     smallest = named.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     return named.join(smallest, "class", "left").select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))

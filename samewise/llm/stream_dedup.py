@@ -132,6 +132,7 @@ def check_bytes(docs: DataFrame, hits: DataFrame, digest_of=lambda data: hashlib
 def decide(spark: SparkSession, docs: DataFrame, home: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256; see the module's docstring."""
     small_batches(spark)
+    once = home is None
     home = home or work_dir(spark, "dedup")
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     locator = F.concat_ws("#", F.input_file_name(), F.input_file_block_start().cast("string"))
@@ -140,6 +141,8 @@ def decide(spark: SparkSession, docs: DataFrame, home: str | None = None) -> Dat
         f"{home}/spool",
     )
     groups = fold_stream(spark, f"{home}/spool", home)
+    if once:  # nothing will be added to this state
+        remove(spark, f"{home}/checkpoint")
     check_bytes(docs, groups.filter("group_size > 1").select("digest"))
     first = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy("ordinal")) == 1
     rows = spool.withColumn("first", first)
@@ -160,6 +163,3 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, home: str | None = None) -
     joined = packed.join(kept, "__digest").filter(F.col("__doc_id").eqNullSafe(F.col("__id")))
     once = Window.partitionBy("__digest", "__id").orderBy(F.lit(1))
     return joined.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select("__row.*")
-
-
-__all__ = ["check_bytes", "decide", "exact_dedup", "fold_stream", "remove"]
