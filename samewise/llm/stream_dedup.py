@@ -48,6 +48,7 @@ def _state_session(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
         "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"),
     }.items():
