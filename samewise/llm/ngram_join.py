@@ -196,8 +196,8 @@ def _links(pairs: DataFrame, fragments: DataFrame, num: int, den: int) -> DataFr
     return rest.filter(_reach(F.col("nu"), F.col("nv"), F.col("o"), num, den)).select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
-def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, home: str | None = None) -> DataFrame:
-    """doc_id, row_key, n_shingles, component_id (smallest doc_id that links of num/den Jaccard or more reach) of every row."""
+def _classes(docs: DataFrame, size: int, num: int, den: int, home: str | None = None) -> DataFrame:
+    """jaccard_classes with the class (the digest of one of its sets) of every row."""
     spark = docs.sparkSession
     small_batches(spark)
     home = home or work_dir(spark, "ngrams")
@@ -271,14 +271,23 @@ def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
         remove(spark, f"{home}/{done}")
     named = rows.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").select("doc_id", "row_key", "n", F.coalesce("root", "digest").alias("class"))
     smallest = named.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return named.join(smallest, "class", "left").select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return named.join(smallest, "class", "left").select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "class")
+
+
+def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, home: str | None = None) -> DataFrame:
+    """doc_id, row_key, n_shingles, component_id (smallest doc_id that links of num/den Jaccard or more reach) of every row."""
+    return _classes(docs, size, num, den, home).drop("class")
 
 
 def near_dedup(spark, docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs that stay: of each class the row with the smallest doc_id (then row_key); rows without words stay."""
+    """The rows of docs that stay: of each class the row with the smallest doc_id (nulls last, then row_key); rows without words stay.
+
+    Classes whose rows have no doc_id at all are told apart by their sets.
+    """
     doc_id = F.col("doc_id").cast("long")
-    classes = jaccard_classes(docs, size, num, den)
-    drop = classes.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "row_key")).alias("k"))
+    classes = _classes(docs, size, num, den)
+    nameless = F.when(F.col("component_id").isNull(), F.col("class"))
+    drop = classes.filter("n_shingles > 0").groupBy("component_id", nameless.alias("nameless")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("k"))
     alone = classes.filter("n_shingles = 0").select("doc_id", "row_key")
     keep = drop.select("k.doc_id", "k.row_key").unionAll(alone).distinct().toDF("__id", "__key")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), doc_id.alias("__doc_id"), F.xxhash64(doc_id, F.coalesce("text", F.lit(""))).alias("__key"))

@@ -75,3 +75,10 @@ def test_near_dedup(spark):
 def test_empty(spark):
     assert ngram_join.jaccard_classes(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     assert ngram_join.near_dedup(spark, spark.createDataFrame([(1, None)], "doc_id bigint, text string")).count() == 1
+
+
+def test_near_dedup_keeps_texts_without_ids(spark):
+    rows = [(None, "a b c d e f"), (None, "g h i j k l"), (None, "a b c d e f"), (7, "g h i j k l"), (None, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in ngram_join.near_dedup(spark, df).collect()), key=str)
+    assert got == sorted([(None, "a b c d e f"), (7, "g h i j k l"), (None, None), (8, "")], key=str)
