@@ -437,3 +437,9 @@ def schema_dedupe(spark, sf_dir):
 def linkage(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", (F.lit(900000000) + F.col("p_partkey") % 300).cast("string").alias("nit"))
     return api.linkage(spark, {"LEFT": p.filter("p_partkey % 2 = 0"), "RIGHT": p.filter("p_partkey % 2 = 1")}, "p_name", "nit", "p_partkey").correlative
+
+
+from . import catalog_more  # noqa: E402
+
+QUERIES |= catalog_more.QUERIES
+ORACLES |= catalog_more.ORACLES

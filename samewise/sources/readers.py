@@ -35,6 +35,7 @@ class SourceSpec:
     encoding: str = "auto"
     delimiter: str = "auto"
     limits: ArchiveLimits = ArchiveLimits()
+    sheet: str | int = 0
 
     def __post_init__(self):
         if "|" in self.name or not self.name:
@@ -145,8 +146,12 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         with zipfile.ZipFile(spec.path) as z:  # unpacked beside the driver; for a cluster unpack into a shared folder first
             path = z.extract(inner[0], tempfile.mkdtemp(prefix="samewise-"))
         return read_source(spark, SourceSpec(spec.name, path, spec.columns, spec.optional, spec.passthrough, "auto", spec.encoding, spec.delimiter, spec.limits))
+    elif kind == "xlsx":
+        from .workbooks import read_workbook
+
+        raw = read_workbook(spark, spec.path, spec.sheet).drop("FILA_EXCEL")
     else:
-        raise ValueError(f"format {kind} needs a conversion to CSV or Parquet")
+        raise ValueError(f"no reader for the format {kind}")
     plan = column_plan(raw.columns, spec)
     text = lambda h: F.when(F.lower(F.trim(F.col(f"`{h}`").cast("string"))).isin(*NULLS), None).otherwise(F.col(f"`{h}`").cast("string"))
     return raw.select(*[(text(h) if h else F.lit(None).cast("string")).alias(c) for c, h in plan.items()])
