@@ -194,10 +194,11 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """The rows of docs drawn without replacement: a row stays if its chance u is below its rate.
+    """The rows of docs drawn at their rates: each as often as its copies say, so a rate above 1 repeats rows.
 
     The choice is read from the stored table, so texts are not taken apart a second time.
     """
-    chosen = rates(docs, labels, targets)[0].filter("u < rate").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).distinct()
+    chosen = rates(docs, labels, targets)[0].filter("copies > 0").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), F.col("copies").cast("int").alias("__copies")).distinct()
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").cast("long").alias("__doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("__key"))
-    return packed.join(chosen, "__key").filter(F.col("__doc_id").eqNullSafe(F.col("__id"))).select("__row.*")
+    drawn = packed.join(chosen, "__key").filter(F.col("__doc_id").eqNullSafe(F.col("__id")))
+    return drawn.select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("__row.*")

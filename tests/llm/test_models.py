@@ -150,6 +150,26 @@ def test_mixing_edges(spark):
     assert mixing.rates(docs.limit(0), labels)[0].count() == 0
 
 
+def mixed_corpus(spark, sizes):
+    """Rows (doc_id, text, domain) of ten words, with words of their own for each domain, and their labels."""
+    rng = random.Random(5)
+    common, own = [f"w{i}" for i in range(200)], {"plain": [f"good{i}" for i in range(9)], "poor": [f"junk{i} $$$" for i in range(9)], "toxic": [f"vile{i}" for i in range(9)]}
+    rows = [(d, " ".join(rng.sample(common, 4) + rng.sample(own[d], 6))) for d, n in sizes.items() for _ in range(n)]
+    docs = spark.createDataFrame([(i, t, d) for i, (d, t) in enumerate(rows)], "doc_id bigint, text string, domain string")
+    marks = {"plain": (1, 0), "poor": (0, 0), "toxic": (1, 1)}
+    return docs, spark.createDataFrame([(i, *marks[d]) for i, (d, _) in enumerate(rows)], "doc_id bigint, quality int, toxic int")
+
+
+def test_mixed_rows_meet_targets_above_rate_one(spark):
+    docs, labels = mixed_corpus(spark, {"plain": 4000, "poor": 20, "toxic": 300})
+    report = mixing.rates(docs, labels)[1]
+    drawn = mixing.mix(docs, labels)
+    words = {r["domain"]: r["n"] for r in drawn.groupBy("domain").agg(F.sum(F.size(mixing.words_of(F.col("text")))).alias("n")).collect()}
+    assert drawn.columns == docs.columns
+    for d in mixing.DOMAINS:
+        assert abs(words[d] - report["targets"][d]) < 0.2 * report["targets"][d], (d, words, report["targets"])
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     home = str(tmp_path_factory.mktemp("stages"))
