@@ -9,7 +9,7 @@ and the list of steps; each iteration is one aggregation over the table of poste
 numbers to the driver. A domain that no document belongs to cannot be filled: its target is 0.
 
 Defined results: null and empty texts have no tokens and the posteriors of their features; null
-labels are not learned from; a domain with fewer than LEAST_ROWS labelled rows has posterior 0, and without any
+labels and labels of other documents are not learned from; a domain with fewer than LEAST_ROWS labelled rows has posterior 0, and without any
 modelled domain all have the same; repeated rows are separate rows with equal rates; an empty table gives an
 empty result; further columns are not read, except that mix() returns them.
 """
@@ -41,9 +41,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[\s.,;:?]+"), "")
 
 
-def _chosen(labels: DataFrame) -> DataFrame:
+def _known(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled rows whose document is among docs."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain_of().alias("domain")).filter("doc_id IS NOT NULL AND domain IS NOT NULL")
+    return known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
+
+
+def _chosen(known: DataFrame) -> DataFrame:
     """The labelled rows that are learned from: SAMPLE_PER_DOMAIN of each domain, by hash of doc_id."""
-    known = labels.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), domain_of().alias("domain"))
     parts = [known.filter(F.col("domain") == d).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_DOMAIN) for d in DOMAINS]
     whole = parts[0]
     for part in parts[1:]:
@@ -90,13 +95,15 @@ def features(text: Column, words: Column, known: dict[str, list[str]]) -> dict[s
 
 def fit(docs: DataFrame, labels: DataFrame, home: str) -> dict:
     """Lexicons, and per domain the prior and the mean and variance of each feature."""
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(_chosen(labels)), "doc_id")
+    labelled = stored(_known(docs, labels), f"{home}/known")
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(_chosen(labelled)), "doc_id")
     sample = stored(sample.select("domain", "text").withColumn("words", words_of(F.col("text"))), f"{home}/sample")
     known = lexicons(sample)
     cols = features(F.col("text"), F.col("words"), known)
     named = sample.select("domain", *[c.alias(k) for k, c in cols.items()])
     stats = named.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), *[F.avg(k).alias(f"m_{k}") for k in cols], *[F.var_pop(k).alias(f"v_{k}") for k in cols]).collect()
-    counts = {r["domain"]: r["count"] for r in labels.select(domain_of().alias("domain")).filter("domain IS NOT NULL").groupBy("domain").count().collect()}
+    counts = {r["domain"]: r["count"] for r in labelled.groupBy("domain").count().collect()}
+    remove(docs.sparkSession, f"{home}/known")
     return {"lexicons": known, "stats": {r["domain"]: {k: (r[f"m_{k}"], max(FLOOR, r[f"v_{k}"])) for k in cols} for r in stats if r["n"] >= LEAST_ROWS}, "counts": counts}
 
 

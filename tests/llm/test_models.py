@@ -170,6 +170,13 @@ def test_mixed_rows_meet_targets_above_rate_one(spark):
         assert abs(words[d] - report["targets"][d]) < 0.2 * report["targets"][d], (d, words, report["targets"])
 
 
+def test_mixing_learns_from_labels_of_its_own_documents(spark):
+    docs, labels = mixed_corpus(spark, {"plain": 400, "poor": 12, "toxic": 40})
+    gone = spark.range(10_000, 16_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), F.lit(0).alias("toxic"))
+    model = mixing.fit(docs, labels.unionByName(gone), mixing.work_dir(spark, "own-labels"))
+    assert set(model["stats"]) == set(mixing.DOMAINS) and model["counts"] == {"plain": 400, "poor": 12, "toxic": 40}
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     home = str(tmp_path_factory.mktemp("stages"))
