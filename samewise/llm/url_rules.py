@@ -21,9 +21,11 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER
+from .common import LOWER, UPPER, stored, work_dir
 
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_RULES = 0.01, 0.6, 1000
+MIN_SUPPORT, MIN_CONFIDENCE = 0.01, 0.6
+#: Up to so many rules are held in the plan; more are joined as a table.
+INLINE_RULES = 1000
 
 
 @dataclass(frozen=True)
@@ -71,7 +73,7 @@ def tokens(host: Column, path: Column) -> Column:
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (tokens, verdict, confidence, support) from rows (tokens array, verdict string); MAX_RULES best at most."""
+    """Rules (tokens, verdict, confidence, support) from rows (tokens array, verdict string): all that reach both limits."""
     spark = labelled.sparkSession
     rows = labelled.filter("verdict IS NOT NULL").select(F.concat("tokens", F.array(F.concat(F.lit("label:"), "verdict"))).alias("items"))
     empty = spark.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double")
@@ -79,11 +81,15 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         return empty
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
     rules = model.associationRules.filter(F.col("consequent")[0].startswith("label:"))
-    return (
-        rules.select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 7, 100).alias("verdict"), "confidence", "support")
-        .orderBy(F.desc("confidence"), F.desc("support"), F.size("tokens"), F.array_join("tokens", " "))
-        .limit(MAX_RULES)
-    )
+    return rules.select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 7, 100).alias("verdict"), "confidence", "support")
+
+
+def essential(rules: DataFrame) -> DataFrame:
+    """pruned() on a table: a rule goes that a more general one of its verdict and at least its confidence implies."""
+    general = rules.select(F.col("tokens")[0].alias("at"), "verdict", F.col("tokens").alias("few"), F.col("confidence").alias("least"))
+    each = rules.withColumn("at", F.explode("tokens"))
+    implied = each.join(general, ["at", "verdict"]).filter((F.size("few") < F.size("tokens")) & (F.col("least") >= F.col("confidence")) & (F.size(F.array_except("few", "tokens")) == 0))
+    return rules.join(implied.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti")
 
 
 def pruned(rules: list[dict]) -> list[dict]:
@@ -113,12 +119,25 @@ def mined_verdict(own: Column, rules: list[dict], default: str) -> Column:
     return F.coalesce(F.array_max(fits)["verdict"], F.lit(default))
 
 
+def with_best_rule(read: DataFrame, rules: DataFrame, default: str) -> DataFrame:
+    """read with the column mined, as mined_verdict() gives it, by joins: any number of rules. Each set of tokens is judged once."""
+    sets = read.select("tokens").distinct()
+    held = rules.select(F.col("tokens")[0].alias("at"), F.struct("confidence", "support", "verdict", "tokens").alias("r"))
+    fits = sets.withColumn("at", F.explode("tokens")).join(held, "at").filter(F.size(F.array_except("r.tokens", "tokens")) == 0)
+    best = fits.groupBy("tokens").agg(F.max("r")["verdict"].alias("mined"))
+    return read.join(best, "tokens", "left").withColumn("mined", F.coalesce("mined", F.lit(default)))
+
+
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = "allow", **limits) -> DataFrame:
     """page_id, host, path, rule, verdict of every page. labels: (page_id, verdict) of some pages."""
+    home = work_dir(pages.sparkSession, "url-rules")
     host, path = host_and_path(F.col("url"))
     read = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("tokens", tokens(F.col("host"), F.col("path")))
     known = read.select("page_id", "tokens").join(labels.select("page_id", "verdict"), "page_id")
-    mined = pruned([r.asDict() for r in mine(known, **limits).collect()])
+    mined = stored(essential(stored(mine(known, **limits), f"{home}/mined")), f"{home}/rules")
+    few = [r.asDict() for r in mined.limit(INLINE_RULES + 1).collect()]
+    many = len(few) > INLINE_RULES
+    read = with_best_rule(read, mined, default) if many else read.withColumn("mined", mined_verdict(F.col("tokens"), few, default))
     return read.withColumn("explicit", explicit(F.col("host"), F.col("path"), rules)).select(
-        "page_id", "host", "path", F.col("explicit.rule").alias("rule"), F.coalesce(F.col("explicit.verdict"), mined_verdict(F.col("tokens"), mined, default)).alias("verdict")
+        "page_id", "host", "path", F.col("explicit.rule").alias("rule"), F.coalesce(F.col("explicit.verdict"), F.col("mined")).alias("verdict")
     )

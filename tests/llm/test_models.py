@@ -88,6 +88,22 @@ def test_mined_rules_against_brute_force(spark):
         assert any(k["verdict"] == v and set(k["tokens"]) <= set(tokens) and k["confidence"] >= want[tokens, v][0] for k in kept)
 
 
+def test_block_rules_beyond_a_thousand_allow_rules(spark, monkeypatch):
+    rows = [(["a", "b", "c", "d", "e", "f", "g", "h", "i", "j", "k"], "allow")] * 60 + [(["x"], "block")] * 39 + [(["x"], "allow")]
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    mined = url_rules.mine(df, 0.1, 0.6)
+    assert mined.count() == 2**11 - 1 + 1 and mined.filter("verdict = 'block'").count() == 1
+    rules = url_rules.essential(mined)
+    want = [(r["verdict"], r["tokens"]) for r in url_rules.pruned([r.asDict() for r in mined.collect()])]
+    assert sorted((r["verdict"], r["tokens"]) for r in rules.collect()) == sorted(want) and len(want) == 12
+    for monkey in (1000, 3):
+        monkeypatch.setattr(url_rules, "INLINE_RULES", monkey)
+        pages = spark.createDataFrame([(i, f"http://{h}/q/{i}") for i, h in enumerate(["good.net"] * 60 + ["bad.net"] * 40)] + [(None, None)], "page_id bigint, url string")
+        labels = spark.createDataFrame([(i, "allow" if i < 60 else "block") for i in range(99)], "page_id bigint, verdict string")
+        got = [(r["host"], r["verdict"]) for r in url_rules.judge(pages, labels, rules=()).collect()]
+        assert sorted(set(got)) == [("", "allow"), ("bad.net", "block"), ("good.net", "allow")] and len(got) == 101
+
+
 def brute_scan(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
