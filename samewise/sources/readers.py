@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import gzip
 import zipfile
 from collections import Counter
@@ -79,18 +80,30 @@ def _sample(path: str, n: int = 1 << 16) -> bytes:
         return f.read(n)
 
 
+def _decodes(path: str, encoding: str) -> bool:
+    """Whether the whole file is strictly of the encoding; read in chunks."""
+    decoder = codecs.getincrementaldecoder(encoding)("strict")
+    try:
+        with (gzip.open if detect_format(path) == "gzip" else open)(path, "rb") as f:
+            while chunk := f.read(1 << 20):
+                decoder.decode(chunk)
+        decoder.decode(b"", True)
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 def detect_encoding(path: str) -> str:
-    """A byte order mark, else strict UTF-8, else CP1252; raises where none fits."""
-    raw = _sample(path)
+    """A byte order mark, else UTF-8, else CP1252, of the whole file; raises where none fits."""
+    raw = _sample(path, 4)
     for mark, name in ((b"\xef\xbb\xbf", "UTF-8"), (b"\xff\xfe", "UTF-16LE"), (b"\xfe\xff", "UTF-16BE")):
         if raw.startswith(mark):
+            if not _decodes(path, name):
+                raise ValueError(f"the file has the mark of {name} and other bytes")
             return name
     for name in ("utf-8", "cp1252"):
-        try:
-            raw[: raw.rfind(b"\n") + 1 or None].decode(name)
+        if _decodes(path, name):
             return "UTF-8" if name == "utf-8" else "windows-1252"
-        except UnicodeDecodeError:
-            continue
     raise ValueError("neither UTF-8 nor CP1252")
 
 

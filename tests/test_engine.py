@@ -136,3 +136,12 @@ def test_query_against_sql(spark, name):
 
 def test_corpus_subpackage_is_optional():
     assert not [m for m in sys.modules if m.startswith("samewise.") and not m.startswith("samewise.llm") and "samewise.llm" in open(sys.modules[m].__file__).read()]
+
+
+def test_encoding_of_the_whole_file(tmp_path):
+    path = tmp_path / "late.csv"
+    path.write_bytes(b"name;x\n" + b"plain;1\n" * 20_000 + "Cañón;2\n".encode("cp1252"))
+    assert readers.detect_encoding(str(path)) == "windows-1252"
+    path.write_bytes(path.read_bytes() + b"\x81\n")
+    with pytest.raises(ValueError):
+        readers.detect_encoding(str(path))
