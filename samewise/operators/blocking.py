@@ -1,6 +1,6 @@
 """Candidate pairs by blocking. Records have rec_id; results have id_l < id_r, each pair once.
 
-Blocks larger than max_block are skipped or chained, and the count is taken before any self-join, so
+Blocks larger than max_block are skipped or chained (geo_grid: only where one is given), and the count is taken before any self-join, so
 no block costs the square of a hot key.
 """
 
@@ -124,14 +124,17 @@ def sorted_neighbourhood(records: DataFrame, by: str, window: int = 3) -> DataFr
     return near.join(ranked, "rank").select(F.least("a", "rec_id").alias("id_l"), F.greatest("a", "rec_id").alias("id_r"))
 
 
-def geo_grid(records: DataFrame, size: float = 0.01, max_block: int = 2000) -> DataFrame:
-    """Pairs in the same or a neighbouring cell of (lat, lon)."""
+def geo_grid(records: DataFrame, size: float = 0.01, max_block: int | None = None) -> DataFrame:
+    """Pairs in the same or a neighbouring cell of (lat, lon): all of them, unless max_block leaves larger cells out."""
+    from .tables import spread_join
+
     cell = records.filter("lat IS NOT NULL AND lon IS NOT NULL").select("rec_id", ids.grid_cell(F.col("lat"), size).alias("x"), ids.grid_cell(F.col("lon"), size).alias("y"))
-    n = F.count(F.lit(1)).over(Window.partitionBy("x", "y"))
-    cell = cell.withColumn("n", n).filter(F.col("n") <= max_block).drop("n")
+    if max_block:
+        n = F.count(F.lit(1)).over(Window.partitionBy("x", "y"))
+        cell = cell.withColumn("n", n).filter(F.col("n") <= max_block).drop("n")
     around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     near = cell.withColumn("d", F.explode(around)).select(F.col("rec_id").alias("id_l"), (F.col("x") + F.col("d.i")).alias("x"), (F.col("y") + F.col("d.j")).alias("y"))
-    return near.join(cell.withColumnRenamed("rec_id", "id_r"), ["x", "y"]).filter("id_l < id_r").select("id_l", "id_r").distinct()
+    return spread_join(near, cell.withColumnRenamed("rec_id", "id_r"), ["x", "y"]).filter("id_l < id_r").select("id_l", "id_r").distinct()
 
 
 def lsh_pairs(records: DataFrame, name: str = "name", bands: int = 16, rows: int = 4, ngram: int = 3, max_block: int = 500, overflow: str = "connect") -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,3 +22,11 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/samewise/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], rows: int = 2000) -> DataFrame:
+    """The inner join on columns; right rows of a frequent key are dealt over parts of about so many rows, and left rows go to each part."""
+    parts = right.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("__parts"))
+    dealt = right.join(parts, on).withColumn("__part", F.pmod(F.xxhash64(*right.columns), F.col("__parts")).cast("int")).drop("__parts")
+    spread = left.join(parts, on).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
+    return spread.join(dealt, [*on, "__part"]).drop("__part")

@@ -145,3 +145,10 @@ def test_encoding_of_the_whole_file(tmp_path):
     path.write_bytes(path.read_bytes() + b"\x81\n")
     with pytest.raises(ValueError):
         readers.detect_encoding(str(path))
+
+
+def test_geo_grid_keeps_hot_cells(spark):
+    hot = spark.range(2100).select(F.col("id").alias("rec_id"), F.lit(0.005).alias("lat"), F.lit(0.005).alias("lon"))
+    near = spark.range(5000, 5001).select(F.col("id").alias("rec_id"), F.lit(0.015).alias("lat"), F.lit(0.005).alias("lon"))
+    pairs = blocking.geo_grid(hot.unionByName(near))
+    assert pairs.count() == 2100 * 2099 // 2 + 2100
