@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .tables import spread_join
 
 #: Levels and bands from best to worst (fixed values).
 LEVELS, BANDS = ("MATRIZ", "EMPRESA", "GRUPO", "REVISAR"), ("A", "B", "C")
@@ -30,18 +31,13 @@ def _words(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.select(F.col(key), F.explode(F.array_distinct(text.distinctive_words(F.col(name)))).alias("word"))
 
 
-def shared_word_pairs(anchors: DataFrame, destinations: DataFrame, key_a: str, key_b: str, name: str = "name", max_df: int = 300) -> DataFrame:
-    """(key_a, key_b, shared): pairs with a distinctive word alike or one letter apart; words in more than max_df records of a side are no evidence."""
-    sides = []
-    for df, key in ((anchors, key_a), (destinations, key_b)):
-        words = _words(df, key, name)
-        rare = words.groupBy("word").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= max_df).select("word")
-        sides.append((words.join(rare, "word"), rare))
-    (wa, rare_a), (wb, rare_b) = sides
+def shared_word_pairs(anchors: DataFrame, destinations: DataFrame, key_a: str, key_b: str, name: str = "name") -> DataFrame:
+    """(key_a, key_b, shared): all pairs with a distinctive word alike or one letter apart."""
+    wa, wb = _words(anchors, key_a, name), _words(destinations, key_b, name)
     # words are few beside records: their spellings are matched once, then expanded
-    keyed = lambda d, to: d.select(F.col("word").alias(to), F.explode(text.deletion_variants(F.col("word"), 3)).alias("form"))
-    alike = keyed(rare_a, "wa").join(keyed(rare_b, "wb"), "form").select("wa", "wb").distinct().filter(F.levenshtein("wa", "wb") <= 1)
-    hits = wa.withColumnRenamed("word", "wa").join(alike, "wa").join(wb.withColumnRenamed("word", "wb"), "wb")
+    keyed = lambda d, to: d.select("word").distinct().select(F.col("word").alias(to), F.explode(text.deletion_variants(F.col("word"), 3)).alias("form"))
+    alike = keyed(wa, "wa").join(keyed(wb, "wb"), "form").select("wa", "wb").distinct().filter(F.levenshtein("wa", "wb") <= 1)
+    hits = spread_join(spread_join(alike, wa.withColumnRenamed("word", "wa"), ["wa"]), wb.withColumnRenamed("word", "wb"), ["wb"])
     return hits.groupBy(key_a, key_b).agg(F.countDistinct("wa").alias("shared"))
 
 

@@ -98,3 +98,10 @@ def test_importers(spark):
     group = {r["k"]: r["group"] for r in result.correlative.collect()}
     assert group[1] == group[2] and len(set(group.values())) == 4
     assert {r["violations"] for r in importers.invariants(result, rows, "k", ("fob",)).collect()} == {0}
+
+
+def test_shared_word_pairs_keeps_common_words(spark):
+    a = spark.range(310).select(F.col("id").alias("key_a"), F.lit("VALDORIA").alias("name"))
+    b = spark.range(2500).select(F.col("id").alias("key_b"), F.lit("VALDORIAS").alias("name"))
+    got = linking.shared_word_pairs(a, b, "key_a", "key_b")
+    assert got.count() == 310 * 2500 and got.filter("shared <> 1").count() == 0
