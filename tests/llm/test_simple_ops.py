@@ -170,3 +170,35 @@ def test_capacity_is_minimal():
         assert shards.smallest_capacity(sizes, k)[0] == best[0, k]
 
 
+
+
+@pytest.mark.parametrize("share", [0.112, 0.118, 0.1245])
+def test_shard_plan_with_groups_just_below_the_mean(spark, share):
+    """Six groups of 0.9 to 0.996 of the mean beside 30,000 small ones."""
+    rng = random.Random(7)
+    small = [rng.randint(1, 200) for _ in range(30_000)]
+    big = int(share * sum(small) / (1 - 6 * share))
+    groups = sorted({rng.randint(-(2**63), 2**63 - 1): size for size in [*small, *[big] * 6]}.items())
+    plan = shards.plan_shards(spark.createDataFrame(groups, "h bigint, bytes bigint").cache(), 8)
+    assert not plan.alone and len(plan.ends) <= 7
+    best, cuts = shards.smallest_capacity([b for _, b in groups], 8)
+    filled = [0] * 8
+    for h, b in groups:
+        filled[sum(h > e for e in plan.ends)] += b
+    assert plan.capacity == best and filled == np.diff([0, *cuts]).tolist()
+
+
+
+def test_shards_of_a_large_group_over_many_partitions(spark):
+    rows = [(i, "the same text") for i in range(1500)] + [(i, f"text {i} " * (i % 7)) for i in range(1500, 4500)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(211)
+    got = shards.shard_documents(df, 8).toPandas()
+    assert len(got) == 4500 and got[got.doc_id < 1500]["shard"].nunique() == 1
+    for _, rs in got.groupby("shard"):
+        assert sorted(rs["slot"]) == list(range(len(rs)))
+    sizes = got.groupby("shard")["size"].sum()
+    assert sizes.max() - sizes.min() < 0.1 * sizes.mean()
+
+
+def test_greedy_cuts_are_all_used():
+    assert shards.smallest_capacity([], 8) == (0, []) and shards.smallest_capacity([5], 8) == (5, [5])
