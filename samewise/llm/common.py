@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +75,37 @@ def bitmap(keys: DataFrame, column: str, bits: int) -> np.ndarray:
 def in_bitmap(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
     slot = keys.astype(np.int64) & (len(found) * 32 - 1)
     return (found[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1 == 1
+
+
+def located(docs: DataFrame, home: str) -> DataFrame:
+    """(__row, __file, __at): each row as a struct, with the file that holds it and its place there.
+
+    A table that is not read straight from Parquet files is written under home first, so that every row
+    has a place where its content can be found again.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    place = (F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    if docs._jdf.queryExecution().analyzed().nodeName().startswith("LogicalRelation") and "_metadata" not in docs.columns:
+        try:
+            return docs.select(row, *place)
+        except AnalysisException:  # a format without row numbers
+            pass
+    return stored(docs.select(row), f"{home}/content").select("__row", *place)
+
+
+#: Bits of the filter of slots(), by which rows that need no trial pass without a shuffle: 2**24 / 64 words at most.
+SLOT_BITS = 1 << 24
+
+
+def slots(keys: DataFrame, key: Column) -> DataFrame:
+    """A bitmap of fixed size over hashes, as a table of words (SLOT_BITS / 64 rows at most) that may be broadcast."""
+    slot = F.pmod(key, F.lit(SLOT_BITS))
+    return keys.select(slot.alias("s")).selectExpr("s div 64 AS __word", "shiftleft(1L, cast(s % 64 AS int)) AS bit").groupBy("__word").agg(F.bit_or("bit").alias("__bits"))
+
+
+def by_slot(rows: DataFrame, key: Column, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose hash is surely not among those of words, the others)."""
+    slot = F.pmod(key, F.lit(SLOT_BITS))
+    marked = rows.withColumns({"__word": F.expr("0L") + F.floor(slot / 64), "__bit": (slot % 64).cast("int")}).join(F.broadcast(words), "__word", "left")
+    hit = F.coalesce(F.call_function("getbit", F.col("__bits"), F.col("__bit")) == 1, F.lit(False))
+    return tuple(marked.filter(h).select(*rows.columns) for h in (~hit, hit))

@@ -1,6 +1,6 @@
 """Exact dedup by a streaming query with disk-backed keyed state.
 
-Every row leaves a small record (digest, doc_id, content locator) in a spool folder. A streaming
+Every row leaves a small record (digest, doc_id, content locator: file and row number) in a spool folder. A streaming
 query folds the spool into state kept by digest in RocksDB, without watermark or expiry: the state
 holds the stable identifier (largest doc_id), its content locator and the number of rows. Spark
 folds rows of a key inside each task before they are dealt out, so a digest that a third of the
@@ -8,11 +8,15 @@ rows share reaches its state as one row per task. Later files in the same spool
 state.
 
 A digest met twice is a hit. For hits the whole normalised bytes are grouped beside the digest
-(again folded per task); if one digest stands for two different byte strings the run stops with an
-error instead of merging them.
+(again folded per task), together with the contents that earlier runs left in the state, which are read
+at their locators; if one digest stands for two different byte strings the run stops with an error
+instead of merging them.
+
+What the state says of a digest is brought back to its rows by a join on the digest; digests that hold a
+thousandth of the rows or more (a thousand at most) are broadcast, so that none fills a task.
 
 Defined results: null text counts as empty; null doc_id is ignored when the largest is chosen (a
-group of only nulls keeps keep_id null, and the first of its rows); of repeated rows with the same
+group of only nulls keeps keep_id null, and the last of its rows by locator); of repeated rows with the same
 doc_id and text exactly one is kept; an empty table gives an empty result; further columns of the
 input are not read.
 """
@@ -20,14 +24,15 @@ input are not read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_lower, remove, small_batches, stored, work_dir
+from .common import ascii_lower, by_slot, located, remove, slots, small_batches, stored, work_dir
 
 SPOOL = T.StructType(
     [
@@ -37,8 +42,11 @@ SPOOL = T.StructType(
         T.StructField("ordinal", T.LongType()),
     ]
 )
+STATE = T.StructType([SPOOL["digest"], T.StructField("keep_id", T.LongType()), SPOOL["locator"], SPOOL["ordinal"], T.StructField("group_size", T.LongType())])
 #: Hex digits of the digest that index the fixed-size bitmap of hits (16**6 bits are 2 MB).
 HIT_DIGITS = 6
+#: A digest with one row in so many, or more, is broadcast.
+HOT_SHARE = 1000
 
 
 def _state_session(spark: SparkSession) -> SparkSession:
@@ -57,7 +65,7 @@ def _state_session(spark: SparkSession) -> SparkSession:
 
 
 def fold_stream(spark: SparkSession, spool: str, home: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Runs the stream over all files that the spool holds now; returns (digest, keep_id, locator, group_size).
+    """Runs the stream over all files that the spool holds now; returns (digest, keep_id, locator, ordinal, group_size).
 
     home keeps the query's checkpoint and its output, so that a restart (after more files came, or after a
     failure) goes on where it stopped.
@@ -66,23 +74,26 @@ def fold_stream(spark: SparkSession, spool: str, home: str, files_per_trigger: i
     reader = session.readStream.schema(SPOOL)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    state = (
+    folded = (
         reader.parquet(spool)
         .groupBy("digest")
-        .agg(F.max("doc_id").alias("keep_id"), F.max(F.struct("doc_id", "locator")).alias("at"), F.count(F.lit(1)).alias("group_size"))
-        .select("digest", "keep_id", F.col("at.locator").alias("locator"), "group_size")
+        .agg(F.max("doc_id").alias("keep_id"), F.max(F.struct("doc_id", "locator", "ordinal")).alias("at"), F.count(F.lit(1)).alias("group_size"))
+        .select("digest", "keep_id", "at.locator", "at.ordinal", "group_size")
     )
 
     def sink(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{home}/out/part_of={number}")
 
-    query = state.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start()
+    query = folded.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    schema = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("keep_id", T.LongType()), T.StructField("locator", T.StringType()), T.StructField("group_size", T.LongType())])
-    if not query.lastProgress and not _exists(spark, f"{home}/out"):
-        return spark.createDataFrame([], schema)
-    # both numbers only grow, so the last state of a digest is the largest
-    return spark.read.schema(schema).parquet(f"{home}/out/part_of=*").groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.max_by("locator", "group_size").alias("locator"), F.max("group_size").alias("group_size"))
+    return state(spark, home) if query.lastProgress or _exists(spark, f"{home}/out") else spark.createDataFrame([], STATE)
+
+
+def state(spark: SparkSession, home: str) -> DataFrame:
+    """What the stream under home has said last of each digest."""
+    # keep_id and group_size only grow, so the last state of a digest is the largest
+    out = spark.read.schema(STATE).parquet(f"{home}/out/part_of=*")
+    return out.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), *[F.max_by(c, "group_size").alias(c) for c in ("locator", "ordinal")], F.max("group_size").alias("group_size"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -100,6 +111,17 @@ def _hit_bitmap(hits: DataFrame) -> np.ndarray:
     return bitmap
 
 
+def earlier_contents(spark: SparkSession, met: DataFrame) -> DataFrame | None:
+    """The texts that earlier runs keep for digests met again (locator, ordinal), read at their locators."""
+    files = [r[0] for r in met.select("locator").distinct().collect()]
+    if not files:
+        return None
+    held = spark.read.parquet(*files)
+    text = F.col("text") if "text" in held.columns else F.col("__row.text")
+    rows = held.select(text.alias("text"), F.col("_metadata.file_path").alias("locator"), F.col("_metadata.row_index").alias("ordinal"))
+    return rows.join(met, ["locator", "ordinal"], "left_semi").select("text")
+
+
 def check_bytes(docs: DataFrame, hits: DataFrame, digest_of=lambda data: hashlib.sha256(data).digest()) -> None:
     """Compares the whole bytes of all rows whose digest was met more than once; raises on a difference.
 
@@ -128,37 +150,46 @@ def check_bytes(docs: DataFrame, hits: DataFrame, digest_of=lambda data: hashlib
         raise ValueError(f"two different texts share the digest {bytes(bad[0]['digest']).hex()}")
 
 
-def decide(spark: SparkSession, docs: DataFrame, home: str | None = None) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256; see the module's docstring."""
+def _decided(spark: SparkSession, docs: DataFrame, home: str | None) -> tuple[DataFrame, DataFrame]:
+    """The located rows, and for each of them file, place, digest and what the state says of its group."""
     small_batches(spark)
     once = home is None
     home = home or work_dir(spark, "dedup")
-    text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
-    locator = F.concat_ws("#", F.input_file_name(), F.input_file_block_start().cast("string"))
-    spool = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest"), locator.alias("locator"), F.monotonically_increasing_id().alias("ordinal")),
-        f"{home}/spool",
-    )
-    groups = fold_stream(spark, f"{home}/spool", home)
+    run = uuid.uuid4().hex
+    source = located(docs, f"{home}/{run}")
+    text, doc_id = F.col("__row").getField("text"), F.col("__row").getField("doc_id").cast("long")
+    digest = F.unhex(F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256))
+    spool = stored(source.select(doc_id.alias("doc_id"), digest.alias("digest"), F.col("__file").alias("locator"), F.col("__at").alias("ordinal")), f"{home}/spool/run={run}")
+    known = stored(state(spark, home), f"{home}/{run}/known") if not once and _exists(spark, f"{home}/out") else None
+    groups = stored(fold_stream(spark, f"{home}/spool/*", home), f"{home}/{run}/groups")
     if once:  # nothing will be added to this state
         remove(spark, f"{home}/checkpoint")
-    check_bytes(docs, groups.filter("group_size > 1").select("digest"))
-    first = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy("ordinal")) == 1
-    rows = spool.withColumn("first", first)
-    return rows.join(groups.select("digest", "keep_id", "group_size"), "digest").select(
-        "doc_id",
-        "keep_id",
-        "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("first")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
-    )
+        remove(spark, f"{home}/out")
+    hits = groups.filter("group_size > 1")
+    texts = source.select(text.alias("text"))
+    before = None if known is None else earlier_contents(spark, known.join(spool.select("digest").distinct(), "digest", "left_semi"))
+    check_bytes(texts if before is None else texts.unionAll(before), hits.select("digest"))
+    total = groups.agg(F.sum("group_size")).first()[0] or 0
+    said = groups.select("digest", "keep_id", "group_size", F.col("locator").alias("at_file"), F.col("ordinal").alias("at_row"))
+    hot = said.filter(F.col("group_size") * HOT_SHARE >= total)
+    marked = spool.join(F.broadcast(hot), "digest", "left")
+    cold = marked.filter("group_size IS NULL").select(*spool.columns).join(said.filter(F.col("group_size") * HOT_SHARE < total), "digest")
+    rows = marked.filter("group_size IS NOT NULL").unionByName(cold)
+    return source, rows.withColumn("kept", (F.col("locator") == F.col("at_file")) & (F.col("ordinal") == F.col("at_row")))
+
+
+def decide(spark: SparkSession, docs: DataFrame, home: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256; see the module's docstring.
+
+    With a home the state goes on from earlier calls, and group_size and keep_id tell of their rows too.
+    """
+    return _decided(spark, docs, home)[1].select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, home: str | None = None) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    kept = decide(spark, docs, home).filter("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__digest"))
-    text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").cast("long").alias("__doc_id"), F.unhex(F.sha2(text, 256)).alias("__digest"))
-    joined = packed.join(kept, "__digest").filter(F.col("__doc_id").eqNullSafe(F.col("__id")))
-    once = Window.partitionBy("__digest", "__id").orderBy(F.lit(1))
-    return joined.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select("__row.*")
+    """The rows of docs that stay, with all their columns. Rows that are surely kept do not move; the others are tried by their place."""
+    source, rows = _decided(spark, docs, home)
+    place = F.xxhash64("__file", "__at")
+    dropped = rows.filter("NOT kept").select(F.col("locator").alias("__file"), F.col("ordinal").alias("__at"))
+    sure, others = by_slot(source, place, slots(dropped, place))
+    return sure.unionAll(others.join(dropped, ["__file", "__at"], "left_anti").select(*source.columns)).select("__row.*")
