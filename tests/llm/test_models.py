@@ -42,6 +42,71 @@ def test_votes_are_exact():
         assert abs(got - (w * y[near]).sum() / w.sum()) < 1e-4
 
 
+def brute_quality(docs, labels):
+    """Scores from word lists, a full singular value decomposition and a loop over all neighbours."""
+    import zlib
+    from collections import Counter
+
+    kind = lambda b: quality.CLASSES[b]
+    def shares(text):
+        data = (text or "").encode()
+        found = Counter()
+        for a, b in zip(data, data[1:]):
+            found["t", kind(a), kind(b)] += 1 / (len(data) - 1)
+        words = data.split()
+        for a, b in zip(words, words[1:]):
+            found["again"] += (a == b) / (len(words) - 1)
+        for w in data.lower().split():
+            found["w", zlib.crc32(re.sub(rb"[0-9]", b"0", w.strip(b".,;:!?\"'()[]"))) % quality.WORDS] += 1 / len(words)
+        return {k: v**0.5 for k, v in found.items() if v}
+
+    known = sorted((i, min(t or "" for d, t in docs if d == i), y) for i, y in labels if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows = [shares(t) for _, t, _ in known]
+    axes = sorted({k for r in rows for k in r}, key=str)
+    idf = np.array([np.log((1 + len(rows)) / (1 + sum(k in r for r in rows))) + 1 for k in axes])
+    dense = lambda rs: np.array([[r.get(k, 0) for k in axes] for r in rs]) * idf
+    mean = dense(rows).mean(axis=0)
+    _, weights, basis = np.linalg.svd(dense(rows) - mean, full_matrices=False)
+    basis = basis[: quality.DIMENSIONS][weights[: quality.DIMENSIONS] > 1e-6]
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    held = unit((dense(rows) - mean) @ basis.T)
+    y = np.array([k[2] for k in known])
+    out = []
+    for _, text in docs:
+        cos = held @ unit((dense([shares(text)]) - mean) @ basis.T)[0]
+        votes = sorted(((-c, i) for i, c in enumerate(cos)))[: quality.NEIGHBOURS]
+        power = {v: sum(max(0, -c) ** quality.POWER * 0.5 / (y == v).mean() for c, i in votes if y[i] == v) for v in (0, 1)}
+        out.append(power[1] / (power[0] + power[1]))
+    return out
+
+
+def test_quality_against_brute_force(spark):
+    rng = random.Random(11)
+    good, bad, common = [f"good{i}" for i in range(12)], ["$$$", "buy", "buy", "!!!", "|||"], ["the", "of", "and", "in", "to"]
+    rows = [(i, " ".join(rng.choices(common + (good if i % 3 else bad), k=rng.randint(4, 30)))) for i in range(70)]
+    labels = [(i, int(i % 3 > 0)) for i in range(55)]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id bigint, text string, __score string, __text string").repartition(3)
+    voter = quality.fit(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    got = {r["doc_id"]: r["__score"] for r in quality.score_documents(docs, voter).collect()}
+    want = brute_quality(rows, labels)
+    assert max(abs(got[i] - w) for (i, _), w in zip(rows, want)) < 0.02
+    kept = quality.keep_above(docs, voter)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, s in got.items() if s >= 0.5}
+    assert quality.keep_above(docs.limit(0), voter).count() == 0
+
+
+def test_quality_ties_and_blocks():
+    """Equal texts get equal scores in whatever block they stand; of equal neighbours those with smaller doc_ids vote."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices("abcdefgh", k=9)) for _ in range(5)]
+    x = np.stack([quality.terms(t) for t in [texts[0]] * 20 + texts[1:]])
+    voter = quality.Voter(x, np.array([1] * quality.NEIGHBOURS + [0] * 9))
+    assert voter.score(x[:1])[0] == 1
+    many = np.stack([quality.terms(t) for t in texts * 200])
+    scores = voter.score(many).reshape(200, 5)
+    assert (scores == scores[0]).all() and (voter.score(many[3:4]) == scores[0, 3]).all() and (voter.score(many[1:300])[:4] == scores[0, 1:]).all()
+
+
 URLS = ["http://A.Example.ORG/es/1?x#y", "https://example.org/en/19", "https://example.org/en/29", "x://com/fr/", "x://com/fr", "http://acom/de/1", "http://a.com/de/1", "no scheme", "", None, "://", "http://org", "http://org/", "http://b.net/p/1#z", "http://b.net/p/2", "http://B.net?/p/3"]
 
 
@@ -193,6 +258,67 @@ def test_mixing_learns_from_labels_of_its_own_documents(spark):
     assert set(model["stats"]) == set(mixing.DOMAINS) and model["counts"] == {"plain": 400, "poor": 12, "toxic": 40}
 
 
+def brute_posteriors(texts, domains, temperature):
+    """Naive Bayes over sets of hashed terms, from loops; domains: that of each text."""
+    import xxhash
+
+    def terms(text):
+        words = [w for w in re.split(r"[\s.,;:?]+", text.lower(), flags=re.A) if w]
+        n, marks = len(words), sum(c in mixing.MARKS for c in text)
+        length = int(np.floor(np.log2(n + 1)))
+        own = [f"\u0001marks:{int(np.floor(np.log2(1 + 64 * marks / max(n, 1))))}", f"\u0001length:{length}", f"\u0001distinct:{length}:{int(np.floor(16 * np.log1p(len(set(words))) / max(np.log1p(n), 0.7)))}"]
+        return {xxhash.xxh64_intdigest(w.encode(), seed=42) % mixing.BUCKETS for w in words + own}
+
+    rows = [terms(t) for t in texts]
+    sizes = {d: domains.count(d) for d in mixing.DOMAINS}
+    held = {d: {b: sum(b in r for r, e in zip(rows, domains) if e == d) for b in set().union(*rows)} for d in mixing.DOMAINS}
+    total, telling = len(rows), []
+    for b in sorted(set().union(*rows)):
+        whole = sum(held[d][b] for d in mixing.DOMAINS)
+        pooled, z = whole / total, 0
+        for d in mixing.DOMAINS:
+            apart = held[d][b] / sizes[d] - (whole - held[d][b]) / (total - sizes[d])
+            z = max(z, abs(apart) / np.sqrt(pooled * (1 - pooled) * (1 / sizes[d] + 1 / (total - sizes[d])) + 1e-9))
+        if whole >= mixing.LEAST_TERM and z >= mixing.SURPRISE:
+            telling.append(b)
+    out = []
+    for r in rows:
+        logs = []
+        for d in mixing.DOMAINS:
+            share = [(held[d][b] + 0.5) / (sizes[d] + 1) for b in telling]
+            logs.append(sum(np.log(s if b in r else 1 - s) for b, s in zip(telling, share)))
+        logs = np.array([(x - logs[0]) / temperature + np.log(sizes[d]) for x, d in zip(logs, mixing.DOMAINS)])
+        out.append(np.exp(logs - logs.max()) / np.exp(logs - logs.max()).sum())
+    return np.array(out)
+
+
+def test_posteriors_against_brute_force(spark):
+    docs, labels = mixed_corpus(spark, {"plain": 60, "poor": 15, "toxic": 20})
+    model = mixing.fit(docs, labels, mixing.work_dir(spark, "posteriors"))
+    rows = docs.orderBy("doc_id").collect()
+    want = brute_posteriors([r["text"] for r in rows], [r["domain"] for r in rows], model["temperature"])
+    got = np.array([[r[f"p_{d}"] for d in mixing.DOMAINS] for r in mixing.membership(docs, model).orderBy("doc_id").collect()])
+    assert np.abs(got - want).max() < 1e-6 and (got.argmax(axis=1) == [mixing.DOMAINS.index(r["domain"]) for r in rows]).mean() > 0.9
+
+
+def test_mixing_tells_held_out_domains_apart(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    confusion = mixing.fit(docs, labels, mixing.work_dir(spark, "confusion"))["confusion"]
+    rows = lambda d: sum(n for (a, _), n in confusion.items() if a == d)
+    recall = {d: confusion.get((d, d), 0) / rows(d) for d in mixing.DOMAINS}
+    assert rows("toxic") > 100 and recall["toxic"] >= 0.8 and recall["poor"] >= 0.8 and recall["plain"] >= 0.95, confusion
+
+
+def test_gradient_steps_go_on_and_report_what_is_left(spark):
+    rng = np.random.default_rng(8)
+    p = np.vstack([rng.dirichlet([9, 0.3, 0.3], 300), rng.dirichlet([2, 0.1, 3], 60), rng.dirichlet([2, 4, 0.1], 30)])
+    table = spark.createDataFrame([(int(n), *map(float, b)) for n, b in zip(rng.integers(1, 500, 390), p)], "n_tokens bigint, p_plain double, p_poor double, p_toxic double").coalesce(1)
+    steps, report = mixing.fit_rates(table, mixing.TARGETS)
+    assert len(steps) > 2 and report["residual"] < 1e-6 and all(after < before for before, after in report["losses"])
+    short = mixing.fit_rates(table, mixing.TARGETS, steps_most=1)[1]
+    assert short["residual"] > 1e-6  # too few steps show in the report
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     home = str(tmp_path_factory.mktemp("stages"))
