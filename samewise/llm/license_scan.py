@@ -1,9 +1,9 @@
 """License scans by diagonal voting, in DataFrame functions alone.
 
-All rolling word K-gram hashes of the texts are joined with the K-gram positions of the templates. A
-hit votes for the diagonal (word position less template position) of its template; diagonals at most
+All rolling word K-gram hashes of the texts are held against those of the templates; the hits, with their
+words, are joined with the K-gram positions of the templates on hash and words. A hit votes for the diagonal (word position less template position) of its template; diagonals at most
 SLACK apart are merged, so that a word more or less inside a passage does not split it, and the span is
-verified: an exact template must stand word by word at its diagonal, a loose one must have the share
+verified: an exact template must have all its K-grams, and so all its words, at one diagonal, a loose one must have the share
 MIN_COVER of its K-grams in the merged span.
 
 Defined results: null and empty texts have no words and no labels, score 0; rows with the same doc_id
@@ -58,19 +58,23 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
         count = len(parts) - K + 1
         if not 1 <= count <= 62:
             raise ValueError(f"template {t.words!r} has {count} {K}-grams")
-        heads.append((number, t.label, t.exact, count, parts))
+        heads.append((number, t.label, t.exact, count))
         grams += [(number, i, *parts[i : i + K]) for i in range(count)]
-    known = spark.createDataFrame(grams, f"template int, at int, {', '.join(f'w{i} string' for i in range(K))}").select("template", "at", F.xxhash64(*[f"w{i}" for i in range(K)]).alias("gram"))
-    heads = F.broadcast(spark.createDataFrame(heads, "template int, label string, exact boolean, count int, parts array<string>"))
+    known = spark.createDataFrame(grams, f"template int, at int, {', '.join(f'w{i} string' for i in range(K))}").withColumn("gram", F.xxhash64(*[f"w{i}" for i in range(K)]))
+    heads = F.broadcast(spark.createDataFrame(heads, "template int, label string, exact boolean, count int"))
     known = F.broadcast(known.join(heads, "template"))
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), words_of(F.col("text")).alias("words"))
-    rolling = F.expr(f"transform(slice(words, 1, greatest(size(words) - {K - 1}, 0)), (w, i) -> xxhash64(w, {', '.join(f'get(words, i + {j})' for j in range(1, K))}))")
-    hits = base.select("doc_id", "key", "words", F.posexplode(rolling).alias("pos", "gram")).join(known, "gram").withColumn("diagonal", F.col("pos") - F.col("at"))
-    stands = F.when(F.col("exact") & (F.col("diagonal") >= 0), F.expr("slice(words, greatest(diagonal, 0) + 1, size(parts)) = parts")).otherwise(False)
-    votes = hits.groupBy("doc_id", "key", "template", "diagonal").agg(
-        F.expr("bit_or(shiftleft(1L, at))").alias("mask"), F.max(stands).alias("stands"), F.first("label").alias("label"), F.first("exact").alias("exact"), F.first("count").alias("count")
-    )
+    # only words whose hash with the K - 1 that follow is known leave the array, each with these words to be compared
+    window = ["w", *[f"get(words, i + {j})" for j in range(1, K)]]
+    wanted = ", ".join(sorted({str(r["gram"]) + "L" for r in known.select("gram").collect()}, key=len))
+    gram = f"xxhash64({', '.join(window)})"
+    record = f"named_struct('pos', i, 'gram', {gram}, {', '.join(f'{chr(39)}w{j}{chr(39)}, {x}' for j, x in enumerate(window))})"
+    hits = F.expr(f"filter(transform(slice(words, 1, greatest(size(words) - {K - 1}, 0)), (w, i) -> CASE WHEN {gram} IN ({wanted}) THEN {record} END), x -> x IS NOT NULL)")
+    hits = base.select("doc_id", "key", F.explode(hits).alias("h")).select("doc_id", "key", "h.*").join(known, ["gram", *[f"w{j}" for j in range(K)]]).withColumn("diagonal", F.col("pos") - F.col("at"))
+    votes = hits.groupBy("doc_id", "key", "template", "diagonal").agg(F.expr("bit_or(shiftleft(1L, at))").alias("mask"), *[F.first(c).alias(c) for c in ("label", "exact", "count")])
+    # with all its K-grams on one diagonal, word by word, a template stands there as a whole
+    votes = votes.withColumn("stands", F.col("exact") & (F.expr("bit_count(mask)") == F.col("count")))
     along = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal")
     run = F.sum(F.when(F.col("diagonal") - F.lag("diagonal").over(along) <= SLACK, 0).otherwise(1)).over(along)
     spans = (
