@@ -2,10 +2,15 @@
 
 The writer stores the bytes as private data (stream type 6) in packetised elementary packets of
 UNIT * PER_PES bytes with a time stamp each. Every GROUP of them starts with the program tables and a
-random-access point. The reader takes nothing for granted: it checks the sync bytes, parses the
-program association and map tables (with their CRC), follows the continuity counters, joins the
-elementary packets, and returns the payload with the time stamp, random-access flag and offset of
-each elementary packet.
+random-access point. The reader takes nothing for granted: it checks the sync bytes, parses every
+program association and map table (with its CRC; all copies must agree), follows the continuity counters
+of all three kinds of packets, joins the elementary packets, and returns the payload with the time stamp,
+random-access flag and offset of each elementary packet.
+
+A packet that repeats the one before it, with its counter, is a legal duplicate and left out. Where the
+counter shows that data packets are missing, demux raises; unless strict, it reports the gap
+(continuity_errors and gaps: the places of the payload at which bytes are missing), leaves out what comes up
+to the next start of an elementary packet, and goes on there.
 
 Defined results: null text counts as empty and is stored as one unit of 255 bytes; doc_id may be null
 or repeated, rows are handled one by one; further columns are dropped; equal texts give equal streams.
@@ -21,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import small_batches
+
 PACKET, UNIT, PER_PES, GROUP = 188, 576, 8, 16
 PMT_PID, DATA_PID, STREAM_TYPE, STREAM_ID = 0x100, 0x101, 0x06, 0xBD
 #: Ticks of the 90 kHz clock from one unit to the next, and the first stamp.
@@ -132,44 +139,80 @@ class Stream:
     packets: int
     pid: int
     stream_type: int
+    gaps: np.ndarray
+    duplicates: int
 
 
-def _table(packets: np.ndarray, pid: int, table_id: int) -> bytes:
-    """The first section with this table id; raises where its CRC fails or none is there."""
-    pids = (packets[:, 1].astype(np.int64) & 0x1F) << 8 | packets[:, 2]
-    for packet in packets[(pids == pid) & (packets[:, 1] & 0x40 > 0)]:
-        raw = packet.tobytes()
-        at = 4 + (1 + raw[4] if raw[3] & 0x20 else 0)
-        at += 1 + raw[at]
+def _tables(packets: np.ndarray, table_id: int) -> bytes:
+    """The section with this table id that all the given packets repeat; raises where its CRC fails, copies differ or none is there."""
+    found = None
+    for raw in {p.tobytes()[4:] if not p[3] & 0x20 else p.tobytes()[5 + p[4] :] for p in packets[packets[:, 1] & 0x40 > 0]}:
+        at = 1 + raw[0]
         section = raw[at : at + 3 + ((raw[at + 1] & 0x0F) << 8 | raw[at + 2])]
         if section and section[0] == table_id:
             if crc32_mpeg(section):
                 raise ValueError(f"table {table_id} fails its CRC")
-            return section
-    raise ValueError(f"no table {table_id}")
-
-
-def demux(stream: bytes) -> Stream:
-    """Reads a transport stream with one program; raises where its form is broken."""
+            if found not in (None, section):
+                raise ValueError(f"table {table_id} changes within the stream")
+            found = section
+    if found is None:
+        raise ValueError(f"no table {table_id}")
+    return found
+
+
+def _continuity(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the packets of one PID: which are legal duplicates, and which come after a break of the counter."""
+    has_data = own[:, 3] & 0x10 > 0
+    duplicate, broken = np.zeros(len(own), dtype=bool), np.zeros(len(own), dtype=bool)
+    at = np.flatnonzero(has_data)
+    if len(at) > 1:
+        step = (own[at[1:], 3].astype(np.int64) - own[at[:-1], 3]) & 15
+        same = np.zeros(len(step), dtype=bool)
+        for i in np.flatnonzero(step == 0):  # rare
+            same[i] = (own[at[i]] == own[at[i + 1]]).all() and not (i and same[i - 1])
+        duplicate[at[1:]] = same
+        # the discontinuity indicator announces a new count
+        announced = (own[at[1:], 3] & 0x20 > 0) & (own[at[1:], 4] > 0) & (own[at[1:], 5] & 0x80 > 0)
+        broken[at[1:]] = (step != 1) & ~same & ~announced
+    return duplicate, broken
+
+
+def demux(stream: bytes, strict: bool = True) -> Stream:
+    """Reads a transport stream with one program; raises where its form is broken, and if strict where data is missing."""
     if len(stream) % PACKET or not stream:
         raise ValueError("not a whole number of packets")
     packets = np.frombuffer(stream, dtype=np.uint8).reshape(-1, PACKET)
     if (packets[:, 0] != 0x47).any():
         raise ValueError("a packet lacks its sync byte")
-    pat = _table(packets, 0, 0)
+    pids = (packets[:, 1].astype(np.int64) & 0x1F) << 8 | packets[:, 2]
+    pat = _tables(packets[pids == 0], 0)
     programs = [(pat[i] << 8 | pat[i + 1], (pat[i + 2] & 0x1F) << 8 | pat[i + 3]) for i in range(8, len(pat) - 4, 4)]
-    pmt = _table(packets, next(pid for number, pid in programs if number), 2)
+    pmt_pid = next((pid for number, pid in programs if number), None)
+    if pmt_pid is None:
+        raise ValueError("no program")
+    pmt = _tables(packets[pids == pmt_pid], 2)
     at = 12 + ((pmt[10] & 0x0F) << 8 | pmt[11])
     stream_type, pid = pmt[at], (pmt[at + 1] & 0x1F) << 8 | pmt[at + 2]
-    pids = (packets[:, 1].astype(np.int64) & 0x1F) << 8 | packets[:, 2]
+    errors = duplicates = 0
+    for other in (0, pmt_pid):
+        twice, broken = _continuity(packets[pids == other])
+        errors, duplicates = errors + int(broken.sum()), duplicates + int(twice.sum())
     own = packets[pids == pid]
+    twice, broken = _continuity(own)
+    errors, duplicates = errors + int(broken.sum()), duplicates + int(twice.sum())
+    own, broken = own[~twice], broken[~twice]
+    if strict and broken.any():
+        raise ValueError(f"data packets are missing before packet {int(np.flatnonzero(broken)[0])} of PID {pid}")
     has_field, has_data = own[:, 3] & 0x20 > 0, own[:, 3] & 0x10 > 0
-    counters = own[has_data, 3] & 15
-    errors = int(((counters[1:].astype(np.int64) - counters[:-1]) % 16 != 1).sum())
     field = np.where(has_field, own[:, 4].astype(np.int64) + 1, 0)
-    begin = np.where(has_data, 4 + field, PACKET)
+    begin = np.where(has_data, np.minimum(4 + field, PACKET), PACKET)
     access = has_field & (field > 1) & (own[:, 5] & 0x40 > 0)
-    unit_start = own[:, 1] & 0x40 > 0
+    unit_start = (own[:, 1] & 0x40 > 0) & has_data
+    # after a break nothing can be placed up to the next start
+    order = np.arange(len(own))
+    begun = np.maximum.accumulate(np.where(unit_start, order, -1))
+    lost = (begun < 0) | (np.maximum.accumulate(np.where(broken & ~unit_start, order, -1)) > begun)
+    begin = np.where(lost, PACKET, begin)
     body = own[np.arange(PACKET)[None, :] >= begin[:, None]]
     ends = np.cumsum(PACKET - begin)
     starts = (ends - (PACKET - begin))[unit_start]
@@ -178,15 +221,24 @@ def demux(stream: bytes) -> Stream:
     stamp = body[starts[:, None] + np.arange(9, 14)].astype(np.int64)
     pts = (stamp[:, 0] >> 1 & 7) << 30 | stamp[:, 1] << 22 | (stamp[:, 2] >> 1) << 15 | stamp[:, 3] << 7 | stamp[:, 4] >> 1
     head = 9 + body[starts + 8].astype(np.int64)
-    length = (body[starts + 4].astype(np.int64) << 8 | body[starts + 5]) + 6
-    if (length != np.diff(np.append(starts, len(body)))).any():
+    told = (body[starts + 4].astype(np.int64) << 8 | body[starts + 5]) + 6
+    length = np.diff(np.append(starts, len(body)))
+    # a break inside an elementary packet, or at the start of the next one, explains that it is short
+    number = np.cumsum(unit_start) - 1
+    torn = np.zeros(len(starts) + 1, dtype=bool)
+    torn[np.where(broken & unit_start, number - 1, np.where(lost, number, -1))] = True
+    if ((length != told) & ~(torn[:-1] & (length < told))).any():
         raise ValueError("an elementary packet is not whole")
     mark = np.zeros(len(body) + 1, dtype=np.int8)
     mark[starts] += 1
     np.add.at(mark, starts + head, -1)
     payload = body[np.cumsum(mark[:-1]) == 0]
     sizes = length - head
-    return Stream(payload.tobytes(), pts, access[unit_start], np.cumsum(sizes) - sizes, errors, len(packets), pid, stream_type)
+    offsets = np.cumsum(sizes) - sizes
+    # bytes of the payload before each packet: those of the bodies less the headers of the units begun
+    heads = np.append(0, np.cumsum(head))[np.cumsum(unit_start) - unit_start]
+    places = (ends - (PACKET - begin) - heads)[broken]
+    return Stream(payload.tobytes(), pts, access[unit_start], offsets, errors, len(packets), pid, stream_type, places, duplicates)
 
 
 def padded(text: str | None) -> tuple[int, bytes]:
@@ -212,6 +264,7 @@ def _slices(sizes: list[int]):
 
 def write_media(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes and media (the transport stream) of each row's text."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -224,13 +277,14 @@ def write_media(docs: DataFrame) -> DataFrame:
 
 
 def read_media(media: DataFrame) -> DataFrame:
-    """Parses the stored streams: payload, and pts, random_access and offset of each elementary packet."""
+    """Parses the stored streams: payload, and pts, random_access and offset of each elementary packet; gaps: payload places before which bytes are missing."""
+    small_batches(media.sparkSession)
 
     def run(batches):
         for batch in batches:
             blobs = batch.column(2)
             for lo, hi in _slices([len(b.as_buffer()) for b in blobs]):
-                found = [demux(b.as_py()) for b in blobs.slice(lo, hi - lo)]
+                found = [demux(b.as_py(), strict=False) for b in blobs.slice(lo, hi - lo)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
@@ -241,15 +295,17 @@ def read_media(media: DataFrame) -> DataFrame:
                         pa.array([x.offsets.tolist() for x in found], pa.list_(pa.int64())),
                         pa.array([x.continuity_errors for x in found], pa.int64()),
                         pa.array([x.packets for x in found], pa.int64()),
+                        pa.array([x.gaps.tolist() for x in found], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_bytes", "payload", "pts", "random_access", "offsets", "continuity_errors", "packets"],
+                    ["doc_id", "n_bytes", "payload", "pts", "random_access", "offsets", "continuity_errors", "packets", "gaps"],
                 )
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id bigint, n_bytes bigint, payload binary, pts array<bigint>, random_access array<boolean>, offsets array<bigint>, continuity_errors bigint, packets bigint")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id bigint, n_bytes bigint, payload binary, pts array<bigint>, random_access array<boolean>, offsets array<bigint>, continuity_errors bigint, packets bigint, gaps array<bigint>")
 
 
 def media_digests(media: DataFrame) -> DataFrame:
     """Per row: sizes and sums of the stored stream and of what demux reads back from it, and a feature line."""
+    small_batches(media.sparkSession)
 
     def run(batches):
         for batch in batches:
