@@ -7,14 +7,20 @@ right, in all words at once; words without a known pair leave the array. Each me
 of its own, so a pair formed by a merge always ranks after that merge, and merging all occurrences in
 one round gives the same tokens as merging them one by one.
 
+Words of more than LONG bytes take rounds that touch only the places of the lowest rank: pairs lie in
+buckets by rank, a round merges its bucket at once, and the pairs beside the merged ones are looked up in
+the same way and put into later buckets. So the work grows with a word's length times its logarithm.
+
 Defined results: null and empty texts give no tokens and decode to the empty string; doc_id may be
-null or repeated, rows are handled one by one; further columns are dropped unless named in keep; texts
-of any length are taken whole.
+null or repeated, rows are handled one by one; further columns are dropped unless named in keep; a column
+that is named like one of the results gives way to it; texts and words of any length are taken whole.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -30,6 +36,8 @@ from .common import small_batches
 
 #: Words that a task keeps encoded; beyond it the memory is emptied and filled anew.
 WORD_CACHE = 150_000
+#: Bytes beyond which a word is merged by buckets, and characters beyond which a chunk is not remembered.
+LONG = 256
 #: Separators that str.split knows besides those of the pattern's white space.
 _ODD_SPACES = re.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -83,8 +91,78 @@ class Bpe:
             text,
         )
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair of symbols (their number where there is none) and the symbol it becomes."""
+        key = left * len(self.tokens) + right
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, self.ranks[at], len(self.keys)), self.merged[at]
+
+    def merge_long(self, words: list[bytes]) -> list[list[int]]:
+        """merge() of long words: each round takes the bucket of the lowest rank."""
+        none = len(self.keys)
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        data = np.frombuffer(b"".join(words), dtype=np.uint8)
+        last = np.cumsum(lengths) - 1
+        symbols = self.inner[data]
+        symbols[last] = self.final[data[last]]
+        # one place more than there are symbols stands for no neighbour
+        after, before = np.arange(1, len(data) + 1), np.arange(-1, len(data))
+        after[last] = len(data)
+        before[(last + 1)[:-1]] = len(data)
+        before[0] = len(data)
+        rank, alive = np.full(len(data), none), np.ones(len(data), dtype=bool)
+        buckets: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def look(places: np.ndarray) -> None:
+            places = places[after[places] < len(data)]
+            found, _ = self._ranks(symbols[places], symbols[after[places]])
+            rank[places] = found
+            places = places[found < none]
+            found = found[found < none]
+            order = np.argsort(found, kind="stable")
+            places, found = places[order], found[order]
+            cuts = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else []
+            for start, end in zip(cuts, [*cuts[1:], len(found)]):
+                r = int(found[start])
+                if r not in buckets:
+                    buckets[r] = []
+                    heapq.heappush(heap, r)
+                buckets[r].append(places[start:end])
+
+        look(np.arange(len(data)))
+        while heap:
+            r = heapq.heappop(heap)
+            where = np.unique(np.concatenate(buckets.pop(r)))
+            where = where[alive[where] & (rank[where] == r)]
+            if not len(where):
+                continue
+            # of pairs that overlap (aaa), every other one from the left
+            new_run = np.append(True, after[where[:-1]] != where[1:])
+            run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(where)), 0))
+            where = where[(np.arange(len(where)) - run_start) % 2 == 0]
+            gone = after[where]
+            symbols[where] = self._ranks(symbols[where], symbols[gone])[1]
+            alive[gone], rank[gone], rank[where] = False, none, none
+            after[where] = after[gone]
+            before[after[where]] = where
+            left = before[where]
+            left = left[left < len(data)]
+            rank[left] = none
+            look(np.unique(np.concatenate([where, left])))
+        kept = np.flatnonzero(alive)
+        ends = np.searchsorted(kept, last, side="right")
+        flat = symbols[kept].tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of non-empty words, in merge rounds over all of them."""
+        if any(len(w) > LONG for w in words):
+            long = [w for w in words if len(w) > LONG]
+            short = [w for w in words if len(w) <= LONG]
+            made = {**dict(zip(long, self.merge_long(long))), **(dict(zip(short, self.merge(short))) if short else {})}
+            return [made[w] for w in words]
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
         symbols = self.inner[data]
@@ -189,7 +267,11 @@ class Encoder:
         if fresh:
             memory.update(zip(fresh, self.bpe.encode_chunks(list(fresh), self.split)))
         known = memory.__getitem__
-        return [b"".join([x if isinstance(x, bytes) else b"".join(map(known, x)) for x in row]) for row in rows]
+        out = [b"".join([x if isinstance(x, bytes) else b"".join(map(known, x)) for x in row]) for row in rows]
+        for chunk in fresh:
+            if len(chunk) > LONG:
+                del memory[chunk]
+        return out
 
 
 def decode(bpe: Bpe, ids: np.ndarray) -> str:
@@ -223,12 +305,16 @@ def _slices(texts: list[str | None]):
         yield start, len(texts)
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep columns and ids (array of int) of each row's text. tokenizer: the file's place on the driver."""
+def encode_documents(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",), decoded: bool = False) -> DataFrame:
+    """keep columns and ids (array of int) of each row's text. tokenizer: the file's place on the driver.
+
+    With decoded, the ids are decoded again in the same pass, and decoded_sha256 is the digest of that text.
+    """
     small_batches(docs.sparkSession)
     file = docs.sparkSession.sparkContext.broadcast(_read(tokenizer))
+    keep = tuple(c for c in keep if c not in ("ids", "decoded_sha256"))
     source = docs.select(*[f"`{c}`" for c in keep], "text")
-    schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes[:-1]) + ", ids array<int>"
+    schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes[:-1]) + ", ids array<int>" + (", decoded_sha256 string" if decoded else "")
 
     def run(batches):
         encoder = _encoder(file.value)
@@ -240,7 +326,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("
                 np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
                 flat = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"), pa.int32())
                 column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([batch.column(i).slice(lo, hi - lo) for i in range(len(keep))] + [column], [*keep, "ids"])
+                made = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))] + [column]
+                if decoded:
+                    made.append(pa.array([hashlib.sha256(decode(encoder.bpe, np.frombuffer(c, dtype="<u4")).encode("utf-8")).hexdigest() for c in coded], pa.string()))
+                yield pa.RecordBatch.from_arrays(made, [*keep, "ids", "decoded_sha256"][: len(made)])
 
     return source.mapInArrow(run, schema)
 
@@ -248,14 +337,12 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("
 def decode_documents(coded: DataFrame, tokenizer: str, digests: bool = False) -> DataFrame:
     """Adds decoded to rows with ids; with digests, gives n_tokens and the two SHA-256 sums in place of ids and text."""
     file = coded.sparkSession.sparkContext.broadcast(_read(tokenizer))
-    keep = [c for c in coded.columns if c != "ids"]
+    keep = [c for c in coded.columns if c not in ("ids", "decoded", *(("n_tokens", "ids_sha256", "decoded_sha256") if digests else ()))]
     source = coded.select(*[f"`{c}`" for c in keep], "ids")
     head = ", ".join(f"`{c}` {t}" for c, t in source.dtypes[:-1])
     tail = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
 
     def run(batches):
-        import hashlib
-
         bpe = _encoder(file.value).bpe
         for batch in batches:
             ids = batch.column(len(keep))
