@@ -109,3 +109,21 @@ def by_slot(rows: DataFrame, key: Column, words: DataFrame) -> tuple[DataFrame,
     marked = rows.withColumns({"__word": F.expr("0L") + F.floor(slot / 64), "__bit": (slot % 64).cast("int")}).join(F.broadcast(words), "__word", "left")
     hit = F.coalesce(F.call_function("getbit", F.col("__bits"), F.col("__bit")) == 1, F.lit(False))
     return tuple(marked.filter(h).select(*rows.columns) for h in (~hit, hit))
+
+
+#: A key that holds one row in so many, or more, is broadcast: at most so many keys.
+HOT_SHARE = 1000
+
+
+def spread_join(rows: DataFrame, said: DataFrame, key: str, weight: str) -> DataFrame:
+    """rows joined on key with said (stored; weight: the number of rows of a key, repeated on each of its rows).
+
+    Keys that hold a share of HOT_SHARE or more are broadcast, so that no task gets a frequent key's rows.
+    """
+    total = said.dropDuplicates([key]).agg(F.sum(weight)).first()[0] or 0
+    often = F.col(weight) * HOT_SHARE >= total
+    hot = said.filter(often)
+    if hot.isEmpty():
+        return rows.join(said, key)
+    rest = rows.join(F.broadcast(hot.select(key).distinct()), key, "left_anti").join(said.filter(~often), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)

@@ -28,15 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import bitmap, in_bitmap, remove, small_batches, stored, work_dir
+from .common import bitmap, by_slot, in_bitmap, remove, slots, small_batches, spread_join, stored, work_dir
 from .components import components
 
 #: Counters of n-gram frequency, bits of the filter for candidate texts, fragments of the order.
 SLOTS, FILTER_BITS, FRAGMENTS = 1 << 18, 1 << 24, 4
 #: Sets of each n-gram that are tried with all others that hold it.
 LEADERS = 3
+#: A counter of one n-gram in so many, or more, is hot: its n-grams are dealt out by n-gram and set. Holders of an n-gram that one task pairs.
+HOT_COUNTER, HOLDERS = 1 << 14, 1000
 #: Words whose hashes a task keeps.
-WORD_CACHE = 200_000
+WORD_CACHE = 100_000
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -103,15 +105,15 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return _keyed(docs).mapInArrow(run, "kind int, doc_id bigint, row_key bigint, n bigint, digest binary, slots array<int>, counts array<bigint>")
 
 
-def _order(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of each counter (16 bits, coarser for large counts) and the ranks at which fragments end."""
+def _order(sets: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rank of each counter (16 bits, coarser for large counts), the ranks at which fragments end, and which counters are hot."""
     sums = sets.filter("kind = 1").select(F.explode(F.arrays_zip("slots", "counts")).alias("x")).groupBy("x.slots").agg(F.sum("x.counts").alias("n")).toArrow()
     counts = np.zeros(SLOTS, dtype=np.int64)
     counts[sums["slots"].to_numpy()] = sums["n"].to_numpy()
     ranks = np.minimum(65535, 2048 * np.log2(1.0 + counts)).astype(np.uint16)
     mass = np.bincount(ranks, weights=counts, minlength=65536).cumsum()
     pivots = np.searchsorted(mass, mass[-1] * np.arange(1, FRAGMENTS) / FRAGMENTS)
-    return ranks, pivots.astype(np.int64)
+    return ranks, pivots.astype(np.int64), counts * HOT_COUNTER >= max(1, counts.sum())
 
 
 def _in_order(grams: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,13 +123,14 @@ def _in_order(grams: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndar
     return grams[at], rank[at]
 
 
-def _prefixes(docs: DataFrame, size: int, num: int, den: int, ranks: np.ndarray) -> DataFrame:
-    """token, node, pos, n of the prefix n-grams of each distinct set of a task."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    names = ["token", "node", "pos", "n"]
+def _prefixes(docs: DataFrame, size: int, num: int, den: int, ranks: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """token, node, pos, n of the prefix n-grams of each distinct set of a task; salt: -1, or for n-grams of hot counters a byte of the node."""
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, hot))
+    names = ["token", "node", "pos", "n", "salt"]
 
     def run(batches):
         words, seen = _Words(), set()
+        ranks, hot = shared.value
         for batch in batches:
             tokens, nodes, sizes, totals = [], [], [], []
             for text in batch.column(2).to_pylist():
@@ -137,7 +140,7 @@ def _prefixes(docs: DataFrame, size: int, num: int, den: int, ranks: np.ndarray)
                     continue
                 seen.add(digest)
                 keep = len(grams) - -(-num * len(grams) // den) + 1
-                tokens.append(_in_order(grams, shared.value)[0][:keep].copy())
+                tokens.append(_in_order(grams, ranks)[0][:keep].copy())
                 nodes.append(digest)
                 sizes.append(keep)
                 totals.append(len(grams))
@@ -146,9 +149,11 @@ def _prefixes(docs: DataFrame, size: int, num: int, den: int, ranks: np.ndarray)
                 owner = np.repeat(np.arange(len(nodes)), sizes)
                 pos = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 node = pa.array(nodes, pa.binary()).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), node, pa.array(pos.astype(np.int32)), pa.array(np.array(totals, dtype=np.int32)[owner])], names)
+                flat = np.concatenate(tokens)
+                salt = np.where(hot[(flat >> np.uint64(46)).astype(np.int64)], np.array([d[0] for d in nodes])[owner], -1)
+                yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), node, pa.array(pos.astype(np.int32)), pa.array(np.array(totals, dtype=np.int32)[owner]), pa.array(salt.astype(np.int32))], names)
 
-    return _keyed(docs).mapInArrow(run, "token bigint, node binary, pos int, n int")
+    return _keyed(docs).mapInArrow(run, "token bigint, node binary, pos int, n int, salt int")
 
 
 def _fragments(docs: DataFrame, size: int, ranks: np.ndarray, pivots: np.ndarray, wanted: np.ndarray) -> DataFrame:
@@ -202,26 +207,30 @@ def _classes(docs: DataFrame, size: int, num: int, den: int, home: str | None =
     small_batches(spark)
     home = home or work_dir(spark, "ngrams")
     sets = stored(_sets(docs, size), f"{home}/sets")
-    ranks, pivots = _order(sets)
+    ranks, pivots, hot = _order(sets)
     rows = sets.filter("kind = 0").select("doc_id", "row_key", "n", "digest")
 
-    by_token = Window.partitionBy("token")
+    # n-grams that only one prefix holds go; those of hot counters are dealt out by n-gram and set, and go below
+    by_token = Window.partitionBy("token", "salt")
     shared = (
-        _prefixes(docs, size, num, den, ranks)
+        _prefixes(docs, size, num, den, ranks, hot)
         .withColumn("before", F.lag("node").over(by_token.orderBy("node")))
         .withColumns({"low": F.min("node").over(by_token), "high": F.max("node").over(by_token)})
-        .filter("low <> high AND NOT node <=> before")
+        .filter("(low <> high OR salt >= 0) AND NOT node <=> before")
         .select("token", "node", "pos", "n")
     )
-    shared = stored(shared, f"{home}/shared")
+    held = stored(shared, f"{home}/held")
+    # n-grams that the same sets hold yield the same pairs: one entry stands for them, at each set's first place
+    holders = F.xxhash64(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1))))
+    tokens = stored(held.groupBy("token").agg(F.count(F.lit(1)).alias("c"), holders.alias("same")).filter("c > 1"), f"{home}/tokens")
+    shared = stored(spread_join(held, tokens, "token", "c"), f"{home}/shared")
+    for done in ("held", "tokens"):
+        remove(spark, f"{home}/{done}")
     # s: n-grams before the first shared one; own and held: n-grams of the prefix that no other prefix holds, and that one does
     prefix = F.col("n") - F.ceil(F.col("n") * F.lit(num) / F.lit(den)) + 1
     starts = shared.groupBy("node").agg(F.min("pos").alias("s"), (F.first(prefix) - F.count(F.lit(1))).alias("own"), F.count(F.lit(1)).alias("held"))
-    keys = shared.join(starts, "node").select("token", "node", "pos", "n", "s", "own", "held")
-    # n-grams that the same sets hold yield the same pairs: one entry stands for them, at each set's first place
-    holders = F.xxhash64(F.count(F.lit(1)).over(by_token), F.bit_xor(F.xxhash64("node")).over(by_token), F.bit_xor(F.xxhash64("node", F.lit(1))).over(by_token))
-    same = keys.withColumn("same", holders).groupBy(F.col("same").alias("token"), "node").agg(F.min("pos").alias("pos"), *[F.first(c).alias(c) for c in ("n", "s", "own", "held")])
-    same = stored(same, f"{home}/same")
+    same = shared.groupBy(F.col("same").alias("token"), "node").agg(F.min("pos").alias("pos"), F.first("n").alias("n"), F.first("c").alias("c"))
+    same = stored(same.join(starts, "node"), f"{home}/same")
 
     bound = F.least(F.col("nu") - F.col("su"), F.col("nv") - F.col("sv"))
     # with c n-grams in common among whole prefixes, at most c + need - 1 can be common in all
@@ -248,26 +257,29 @@ def _classes(docs: DataFrame, size: int, num: int, den: int, home: str | None =
         remove(spark, f"{home}/fragments-{number}")
         return found
 
-    first = by_token.orderBy("own", "node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     kept = ("node", "n", "s", "pos", "held")
-    stars = (
-        same.withColumns({f"l{i}": F.nth_value(F.struct(*kept), i + 1).over(first) for i in range(LEADERS)})
-        .withColumn("l", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])))
-        .filter("l IS NOT NULL")
-        .select(*[F.col(f"l.{c}").alias(to) for c, to in zip(kept, ("u", "nu", "su", "pu", "hu"))], *[F.col(c).alias(to) for c, to in zip(kept, ("v", "nv", "sv", "pv", "hv"))])
-        .filter(F.col("u") != F.col("v"))
-    )
+    first = F.row_number().over(Window.partitionBy("token").orderBy("own", "node"))
+    leaders = same.withColumn("number", first).filter(F.col("number") <= LEADERS).select("token", "c", *[F.col(c).alias(to) for c, to in zip(kept, ("u", "nu", "su", "pu", "hu"))])
+    leaders = stored(leaders, f"{home}/leaders")
+    v = same.select("token", *[F.col(c).alias(to) for c, to in zip(kept, ("v", "nv", "sv", "pv", "hv"))])
+    stars = spread_join(v, leaders, "token", "c").filter(F.col("u") != F.col("v"))
     links = linked(screened(stars), 1)
     roots = components(links, f"{home}/classes-1")
 
-    classed = same.join(roots, "node", "left").select("token", *kept, F.coalesce("root", "node").alias("class"))
-    classed = classed.withColumns({"low": F.min("class").over(by_token), "high": F.max("class").over(by_token)}).filter("low <> high").drop("low", "high")
-    classed = stored(classed, f"{home}/classed")
-    u, v = (classed.select("token", *[F.col(c).alias(to) for c, to in zip((*kept, "class"), names)]) for names in (("u", "nu", "su", "pu", "hu", "cu"), ("v", "nv", "sv", "pv", "hv", "cv")))
-    more = linked(screened(u.join(v, "token").filter("u < v AND cu <> cv")), 2)
+    classed = stored(same.join(roots, "node", "left").select("token", *kept, F.coalesce("root", "node").alias("class")), f"{home}/classed")
+    several = classed.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("c")).filter("low <> high").select("token", "c")
+    classed = stored(spread_join(classed, stored(several, f"{home}/several"), "token", "c"), f"{home}/open")
+    # sets that link differ little in size, so they meet by n-gram and size class; holders of a frequent n-gram are dealt over parts
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9).cast("int") if num < den else F.col("n")
+    parts = F.ceil(F.col("c") / F.lit(HOLDERS)).cast("int")
+    u, v = (classed.select("token", parts.alias("parts"), size_class.alias("size"), *[F.col(c).alias(to) for c, to in zip((*kept, "class"), names)]) for names in (("u", "nu", "su", "pu", "hu", "cu"), ("v", "nv", "sv", "pv", "hv", "cv")))
+    u = u.withColumn("size", F.explode(F.array("size", F.col("size") + 1, F.col("size") + 2))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    v = v.withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).drop("parts")
+    met = u.join(v, ["token", "size", "part"]).filter("(nu < nv OR nu = nv AND u < v) AND cu <> cv")
+    more = linked(screened(met), 2)
     roots = components(links.unionAll(more), f"{home}/classes-2")
 
-    for done in ("shared", "same", "prefixes", "classed", "pairs-1", "pairs-2", "links-1", "links-2", "classes-1"):
+    for done in ("shared", "same", "leaders", "prefixes", "classed", "several", "open", "pairs-1", "pairs-2", "links-1", "links-2", "classes-1"):
         remove(spark, f"{home}/{done}")
     named = rows.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").select("doc_id", "row_key", "n", F.coalesce("root", "digest").alias("class"))
     smallest = named.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -284,13 +296,17 @@ def near_dedup(spark, docs: DataFrame, size: int = 5, num: int = 80, den: int =
 
     Classes whose rows have no doc_id at all are told apart by their sets.
     """
-    doc_id = F.col("doc_id").cast("long")
-    classes = _classes(docs, size, num, den)
+    doc_id, home = F.col("doc_id").cast("long"), work_dir(spark, "near-dedup")
+    classes = stored(_classes(docs, size, num, den), f"{home}/classes")
     nameless = F.when(F.col("component_id").isNull(), F.col("class"))
     drop = classes.filter("n_shingles > 0").groupBy("component_id", nameless.alias("nameless")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("k"))
     alone = classes.filter("n_shingles = 0").select("doc_id", "row_key")
-    keep = drop.select("k.doc_id", "k.row_key").unionAll(alone).distinct().toDF("__id", "__key")
+    keep = stored(drop.select("k.doc_id", "k.row_key").unionAll(alone).distinct().toDF("__id", "__key"), f"{home}/keep")
+    # rows whose key is kept and stands for one row only need no trial and do not move
+    keys = classes.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
+    tried = keys.join(keep.select(F.col("__key").alias("row_key")).distinct().withColumn("kept", F.lit(True)), "row_key", "left").filter("n > 1 OR kept IS NULL")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), doc_id.alias("__doc_id"), F.xxhash64(doc_id, F.coalesce("text", F.lit(""))).alias("__key"))
+    sure, others = by_slot(packed, F.col("__key"), slots(tried, F.col("row_key")))
     once = Window.partitionBy("__key", "__id").orderBy(F.lit(1))
-    joined = packed.join(keep, "__key").filter(F.col("__doc_id").eqNullSafe(F.col("__id")))
-    return joined.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select("__row.*")
+    joined = others.join(keep, "__key").filter(F.col("__doc_id").eqNullSafe(F.col("__id")))
+    return sure.select("__row.*").unionAll(joined.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select("__row.*"))

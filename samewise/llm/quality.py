@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .common import small_batches
 
-SAMPLE_PER_CLASS, DIMENSIONS, NEIGHBOURS, POWER, BLOCK, WORDS, GRID = 2000, 48, 15, 8, 512, 2048, 2048
+SAMPLE_PER_CLASS, DIMENSIONS, NEIGHBOURS, POWER, BLOCK, WORDS, GRID = 2000, 48, 15, 8, 256, 2048, 2048
 #: Words whose columns a task keeps.
 WORD_CACHE = 200_000
 
