@@ -12,7 +12,32 @@ _CRC_TABLE = """SELECT list(v ORDER BY i) AS crc FROM (SELECT i, list_reduce(lis
 _CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode({})), '..'), lambda x: ('0x' || x)::BIGINT)),
     lambda v, b: xor(v >> 8, crc[(xor(v, b) & 255) + 1])), 4294967295)"""
 
+
+def _license_scan() -> str:
+    """Places and spans by joins of three-word windows with the templates."""
+    from .license_scan import MIN_COVER, SLACK, TEMPLATES
+
+    rows = ", ".join(f"({i}, '{t.label}', string_split('{t.words}', ' '), {t.exact})" for i, t in enumerate(TEMPLATES))
+    return f"""
+        WITH t AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex({_LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS words FROM documents),
+        templates AS (SELECT * FROM (VALUES {rows}) v(no, label, words, exact)),
+        k AS (SELECT no, label, exact, len(words) - 2 AS n, i AS place, words[i + 1] AS a, words[i + 2] AS b, words[i + 3] AS c FROM templates, unnest(range(len(words) - 2)) u(i)),
+        g AS (SELECT rid, i AS pos, words[i + 1] AS a, words[i + 2] AS b, words[i + 3] AS c FROM t, unnest(range(greatest(len(words) - 2, 0))) u(i)),
+        votes AS (SELECT rid, no, label, exact, n, pos - place AS diagonal, bit_or(CAST(1 AS BIGINT) << place) AS mask FROM g JOIN k USING (a, b, c) GROUP BY ALL),
+        steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, no ORDER BY diagonal) <= {SLACK} THEN 0 ELSE 1 END AS step FROM votes),
+        runs AS (SELECT *, sum(step) OVER (PARTITION BY rid, no ORDER BY diagonal) AS run, exact AND bit_count(mask) = n AS stands FROM steps),
+        spans AS (SELECT rid, label, exact, bit_count(bit_or(mask)) / n AS cover, count(*) FILTER (stands) AS places,
+            min(diagonal) FILTER (stands) AS low, max(diagonal) FILTER (stands) AS high FROM runs GROUP BY rid, no, label, exact, n, run),
+        f AS (SELECT rid, sum(places) AS n_base, min(low) AS low, max(high) AS high, max(cover) AS score,
+            list_sort(list(DISTINCT label) FILTER (places > 0)) AS base, list_sort(list(DISTINCT label) FILTER (places > 0 OR NOT exact AND cover >= {MIN_COVER})) AS every
+            FROM spans GROUP BY rid)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(low AS BIGINT) AS first_word, CAST(high AS BIGINT) AS last_word,
+            coalesce(array_to_string(base, ','), '') AS base_labels, coalesce(array_to_string(every, ','), '') AS labels, coalesce(score, 0.0) AS score
+        FROM t LEFT JOIN f USING (rid)"""
+
+
 ORACLES = {
+    "op7_license_scan": _license_scan(),
     "op1_chat_format": f"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -132,9 +132,35 @@ def test_bpe(spark, docs, empty):
         assert full[i]["ids"] == ids and full[i]["decoded"] == back, text
         assert sums[i]["ids_sha256"] == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
         assert sums[i]["decoded_sha256"] == hashlib.sha256(back.encode()).hexdigest() and sums[i]["n_tokens"] == len(ids)
+    both = {r["doc_id"]: r["decoded_sha256"] for r in bpe.encode_documents(df, path, decoded=True).collect()}
+    assert both == {i: r["decoded_sha256"] for i, r in sums.items()}
+    clash = df.selectExpr("doc_id", "text", "'x' AS ids", "'y' AS decoded", "1 AS n_tokens")
+    again = bpe.decode_documents(bpe.encode_documents(clash, path, keep=("doc_id", "ids", "decoded", "n_tokens")), path, digests=True)
+    assert again.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and again.count() == len(texts)
     assert bpe.encode_documents(docs, path).count() == docs.count() and bpe.encode_documents(empty, path).count() == 0
 
 
+def test_bpe_long_words():
+    """Words of up to 400,000 letters under a time limit, and equal to the library's tokens."""
+    import time
+
+    import public_tokenizers
+    import tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    theirs, ours = tokenizers.Tokenizer.from_file(path), bpe.Encoder(bpe.Bpe.parse(open(path, encoding="utf-8").read()))
+    rng = random.Random(6)
+    words = ["a" * n for n in (255, 256, 257, 258, 1001)] + ["".join(rng.choices(a, k=n)) for a in ("ab", "abcdefghijklmnopqrstuvwxyz", "aaab", "éñabc", "the") for n in (250, 260, 3000)]
+    words += [" ".join(words[3:9]) + " the end", "".join(rng.choices("etaoinshrdlu", k=20_000))]
+    for word, ids in zip(words, ours.encode(words)):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == theirs.encode(word, add_special_tokens=False).ids, word[:30]
+    assert all(len(chunk) <= bpe.LONG for chunk in ours.memory)
+    blob = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400_000))
+    began = time.time()
+    ids = np.frombuffer(ours.encode([blob])[0], dtype="<u4")
+    assert time.time() - began < 60 and bpe.decode(ours.bpe, ids).replace(" ", "").replace("</w>", "") == blob
+
+
 def test_transport_stream(spark, docs, empty):
     for n in (0, 1, 575, 576, 577, 4607, 4608, 4609, 73728, 80_000, 300_000):
         size, payload = mpegts.padded("".join(random.Random(n).choices("abc \n", k=n)))
@@ -154,6 +180,64 @@ def test_transport_stream(spark, docs, empty):
     assert mpegts.read_media(mpegts.write_media(empty)).count() == 0
 
 
+def test_transport_stream_with_lost_and_repeated_packets():
+    payload = bytes(random.Random(1).randbytes(576 * 400))
+    whole = np.frombuffer(mpegts.mux(payload), dtype=np.uint8).reshape(-1, 188)
+    clean = mpegts.demux(whole.tobytes())
+    assert clean.payload == payload and not len(clean.gaps) and clean.duplicates == 0
+    starts = [i for i, p in enumerate(whole) if p[1] & 0x40 and (p[1] & 0x1F, p[2]) == (1, 1)]
+    size, bounds = mpegts.UNIT * mpegts.PER_PES, clean.offsets.tolist()
+    for gone in (starts[3] + 5, starts[3], starts[4] - 1):  # inside, the start, the last one of an elementary packet
+        read = mpegts.demux(np.delete(whole, gone, axis=0).tobytes(), strict=False)
+        number = sum(s <= gone for s in starts) - 1
+        cut = size * number + (0 if gone == starts[number] else 168 + 184 * (gone - starts[number] - 1))
+        follows = size * (number + 1)
+        assert read.payload == payload[:cut] + payload[follows:] and read.gaps.tolist() == [cut] and read.continuity_errors == 1, gone
+        assert len(read.pts) == len(bounds) - (gone == starts[number])
+    for again in (starts[2] + 1, starts[2], 0, 1):  # data and tables
+        read = mpegts.demux(np.insert(whole, again, whole[again], axis=0).tobytes())
+        assert read.payload == payload and read.duplicates == 1 and read.continuity_errors == 0
+    tables = [i for i, p in enumerate(whole) if not p[1] & 0x1F and not p[2]]
+    assert mpegts.demux(np.delete(whole, tables[1], axis=0).tobytes()).continuity_errors == 1
+    for at, byte in ((tables[-1], 10), (tables[-1] + 1, 12)):
+        wrong = whole.copy()
+        wrong[at, byte] ^= 1
+        with pytest.raises(ValueError):
+            mpegts.demux(wrong.tobytes())
+
+
+def test_media_columns_against_brute_force(spark, docs):
+    """The registered columns from the texts alone, and the stored form taken apart packet by packet."""
+    import re
+
+    media = {(r["doc_id"], r["n_bytes"], hashlib.sha256(r["media"]).hexdigest()): r["media"] for r in mpegts.write_media(docs).collect()}
+    got = mpegts.media_digests(mpegts.write_media(docs)).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"], r["n_bytes"]) for r in got) == sorted((r["doc_id"] is None, r["doc_id"], len((r["text"] or "").encode())) for r in docs.collect())
+    payloads = {}
+    for r in docs.collect():
+        data = (r["text"] or "").encode()
+        payloads.setdefault((r["doc_id"], len(data)), set()).add(data + b"\xff" * (-len(data) % 576 if data else 576))
+    for r in got:
+        payload = next(p for p in payloads[r["doc_id"], r["n_bytes"]] if hashlib.sha256(p).hexdigest() == r["payload_sha256"])
+        assert r["payload_bytes"] == len(payload) and r["tail_crc32"] == zlib.crc32(payload[-32:])
+        stream = media[r["doc_id"], r["n_bytes"], r["media_sha256"]]
+        assert r["media_bytes"] == len(stream) == 188 * int(re.search(r"packets=(\d+)", r["feature"])[1])
+        found, access, units = b"", 0, 0
+        for i in range(0, len(stream), 188):
+            packet = stream[i : i + 188]
+            if (packet[1] & 0x1F) << 8 | packet[2] != mpegts.DATA_PID:
+                continue
+            at = 4
+            if packet[3] & 0x20:
+                access += packet[4] > 0 and packet[5] >> 6 & 1
+                at += 1 + packet[4]
+            if packet[1] & 0x40:
+                units += 1
+                at += 9 + packet[at + 8]
+            found += packet[at:]
+        assert found == payload and f"pes={units};" in r["feature"] and f"rai={access};" in r["feature"] and "cc_errors=0;" in r["feature"]
+
+
 def test_shards(spark, docs, empty):
     rows = shards.shard_documents(docs, 8).collect()
     assert len(rows) == docs.count()
