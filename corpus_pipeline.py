@@ -17,8 +17,7 @@ from samewise.llm.queries import tokenizer_path
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
     voter = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_documents(docs, voter, keep=tuple(docs.columns))
-    return scored.filter("__score >= 0.5").drop("__score")
+    return quality.keep_above(docs, voter, 0.5)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +36,9 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document that is left."""
-    return bpe.encode_documents(docs, tokenizer_path()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of each document that is left, and the digest of the text that they decode to."""
+    coded = bpe.encode_documents(docs, tokenizer_path(), decoded=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [
@@ -46,7 +46,7 @@ STAGES = [
     ("exact dedup", drop_copies),
     ("n-gram Jaccard join", drop_near_copies),
     ("mixing to target weights", mix_domains),
-    ("BPE encoding", to_ids),
+    ("BPE encoding and decoding", to_ids),
 ]
 
 #: The classifiers, the mixing and the encoding have no SQL form; tests hold them against brute force.
