@@ -97,10 +97,10 @@ TWO_LEVEL = ("com.co", "com.mx", "com.br", "com.ar", "com.pe", "co.uk", "org.uk"
 
 
 def web_domain(c: Column) -> Column:
-    """Registrable domain of a web address: no scheme, www, port or path."""
-    host = F.regexp_extract(F.lower(F.trim(F.coalesce(c, F.lit("")))), r"^(?:[a-z]+://)?(?:[^@/]*@)?(?:www\.)?([^/:?#]+)", 1)
+    """Registrable domain of the first web address: no scheme, www, port or path; '' for a number address."""
+    host = F.regexp_extract(F.lower(F.trim(F.coalesce(c, F.lit("")))), r"^(?:[a-z]+://)?(?:[^@/]*@)?(?:www\d*\.)?([^/:?#\s,;|]+)", 1)
     two, three = F.substring_index(host, ".", -2), F.substring_index(host, ".", -3)
-    return F.when(~host.contains("."), "").when(two.isin(*TWO_LEVEL), three).otherwise(two)
+    return F.when(~host.contains(".") | F.regexp_like(host, F.lit(r"^\d+(\.\d+){3}$")), "").when(two.isin(*TWO_LEVEL), three).otherwise(two)
 
 
 def split_geo(c: Column) -> Column:

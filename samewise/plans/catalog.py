@@ -439,7 +439,7 @@ def linkage(spark, sf_dir):
     return api.linkage(spark, {"LEFT": p.filter("p_partkey % 2 = 0"), "RIGHT": p.filter("p_partkey % 2 = 1")}, "p_name", "nit", "p_partkey").correlative
 
 
-from . import catalog_more  # noqa: E402
+from . import catalog_more, catalog_pairs  # noqa: E402
 
-QUERIES |= catalog_more.QUERIES
-ORACLES |= catalog_more.ORACLES
+QUERIES |= catalog_more.QUERIES | catalog_pairs.QUERIES
+ORACLES |= catalog_more.ORACLES | catalog_pairs.ORACLES
