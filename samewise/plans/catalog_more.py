@@ -41,20 +41,20 @@ def representatives(spark, sf_dir):
     return linking.representatives(table(spark, sf_dir, "part"), ["p_brand", "p_name"], ["p_size"])
 
 
-def _names(spark, sf_dir, brands, key):
-    """Distinct part names of some brands, numbered by their smallest key."""
-    p = table(spark, sf_dir, "part").filter(F.col("p_brand").isin(*brands))
+def _names(spark, sf_dir, low, high, key):
+    """Distinct part names of the brands numbered low to high, numbered by their smallest key."""
+    p = table(spark, sf_dir, "part").filter(F.substring("p_brand", 7, 9).cast("int").between(low, high))
     return p.groupBy(F.upper("p_name").alias("name")).agg(F.min("p_partkey").alias(key))
 
 
-_SIDES = """a AS (SELECT upper(p_name) AS name, min(p_partkey) AS key_a FROM part WHERE p_brand IN ('Brand#1', 'Brand#2') GROUP BY 1), b AS (SELECT upper(p_name) AS name, min(p_partkey) AS key_b FROM part WHERE p_brand IN ('Brand#3', 'Brand#4') GROUP BY 1)"""
+_SIDES = """a AS (SELECT upper(p_name) AS name, min(p_partkey) AS key_a FROM part WHERE CAST(substr(p_brand, 7) AS INTEGER) BETWEEN 1 AND 12 GROUP BY 1), b AS (SELECT upper(p_name) AS name, min(p_partkey) AS key_b FROM part WHERE CAST(substr(p_brand, 7) AS INTEGER) BETWEEN 13 AND 25 GROUP BY 1)"""
 
 
 @query("shared_word_pairs", f"""WITH {_SIDES}, wa AS (SELECT DISTINCT key_a, unnest(string_split(name, ' ')) AS wa FROM a), wb AS (SELECT DISTINCT key_b, unnest(string_split(name, ' ')) AS wb FROM b),
     x AS (SELECT * FROM wa WHERE length(wa) >= 3), y AS (SELECT * FROM wb WHERE length(wb) >= 3)
     SELECT key_a, key_b, CAST(count(DISTINCT wa) AS BIGINT) AS shared FROM x JOIN y ON levenshtein(wa, wb) <= 1 GROUP BY ALL""")
 def shared_word_pairs(spark, sf_dir):
-    return linking.shared_word_pairs(_names(spark, sf_dir, ("Brand#1", "Brand#2"), "key_a"), _names(spark, sf_dir, ("Brand#3", "Brand#4"), "key_b"), "key_a", "key_b")
+    return linking.shared_word_pairs(_names(spark, sf_dir, 1, 12, "key_a"), _names(spark, sf_dir, 13, 25, "key_b"), "key_a", "key_b")
 
 
 _INITIALS = "array_to_string(list_transform(string_split(name, ' '), lambda w: w[1]), '')"
@@ -63,9 +63,9 @@ _INITIALS = "array_to_string(list_transform(string_split(name, ' '), lambda w: w
 @query("acronym_pairs", f"""WITH {_SIDES}, n AS (SELECT key_a, {_INITIALS} AS s FROM a WHERE len(string_split(name, ' ')) BETWEEN 2 AND 5), m AS (SELECT DISTINCT {_INITIALS} AS s, min(key_b) AS key_b FROM b WHERE len(string_split(name, ' ')) BETWEEN 2 AND 5 GROUP BY 1)
     SELECT key_a, key_b FROM n JOIN m USING (s)""")
 def acronym_pairs(spark, sf_dir):
-    b = _names(spark, sf_dir, ("Brand#3", "Brand#4"), "key_b")
+    b = _names(spark, sf_dir, 13, 25, "key_b")
     short = b.select(F.array_join(F.transform(F.split("name", " "), lambda w: F.substring(w, 1, 1)), "").alias("name"), "key_b").groupBy("name").agg(F.min("key_b").alias("key_b"))
-    return linking.acronym_pairs(_names(spark, sf_dir, ("Brand#1", "Brand#2"), "key_a"), short, "key_a", "key_b")
+    return linking.acronym_pairs(_names(spark, sf_dir, 1, 12, "key_a"), short, "key_a", "key_b")
 
 
 def _links(spark, sf_dir):
@@ -89,21 +89,21 @@ def principal_links(spark, sf_dir):
     return linking.mark_principal(best_pair_per_entity(spark, sf_dir), "entity", "destination")
 
 
-@query("web_propagation", """WITH d AS (SELECT page_id, regexp_extract(url, '://([^/?#]+)', 1) AS domain FROM pages), l AS (SELECT page_id % 7 AS entity, page_id, CASE WHEN page_id % 21 = 0 THEN 'EMPRESA' ELSE 'REVISAR' END AS "NIVEL", 'A' AS "BANDA" FROM pages WHERE page_id % 3 = 0),
+@query("web_propagation", """WITH d AS (SELECT page_id, regexp_extract(url, '://([^/?#]+)', 1) AS domain FROM pages), l AS (SELECT page_id % 7 AS entity, page_id, CASE WHEN page_id % 21 = 0 THEN 'EMPRESA' ELSE 'REVISAR' END AS "NIVEL", 'A' AS "BANDA" FROM pages),
     h AS (SELECT DISTINCT entity, domain FROM l JOIN d USING (page_id) WHERE "NIVEL" = 'EMPRESA' AND domain <> '')
     SELECT entity, page_id, "NIVEL", "BANDA", 'nombre' AS "VIA" FROM l UNION ALL SELECT * FROM (SELECT DISTINCT entity, page_id, 'GRUPO', 'B', 'web' FROM h JOIN d USING (domain) WHERE (entity, page_id) NOT IN (SELECT (entity, page_id) FROM l))""")
 def web_propagation(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    links = pages.filter("page_id % 3 = 0").select((F.col("page_id") % 7).alias("entity"), "page_id", F.when(F.col("page_id") % 21 == 0, "EMPRESA").otherwise("REVISAR").alias("NIVEL"), F.lit("A").alias("BANDA"))
+    links = pages.select((F.col("page_id") % 7).alias("entity"), "page_id", F.when(F.col("page_id") % 21 == 0, "EMPRESA").otherwise("REVISAR").alias("NIVEL"), F.lit("A").alias("BANDA"))
     return linking.propagate_web(links, pages.select("page_id", F.regexp_extract("url", "://([^/?#]+)", 1).alias("domain")), "entity", "page_id")
 
 
-@query("decisions_join", """WITH p AS (SELECT s_suppkey, 'automatico' AS verdict FROM supplier WHERE s_suppkey % 2 = 0), d AS (SELECT s_suppkey, CASE WHEN s_suppkey % 9 = 0 THEN 'SI' ELSE 'NO' END AS "DECISION" FROM supplier WHERE s_suppkey % 3 = 0)
+@query("decisions_join", """WITH p AS (SELECT s_suppkey, 'automatico' AS verdict FROM supplier), d AS (SELECT s_suppkey, CASE WHEN s_suppkey % 9 = 0 THEN 'SI' ELSE 'NO' END AS "DECISION" FROM supplier WHERE s_acctbal < 3000)
     SELECT s_suppkey, verdict, "DECISION", CASE WHEN verdict IS NULL THEN 'decision' WHEN "DECISION" IS NULL THEN 'motor' ELSE 'ambos' END AS "ORIGEN", coalesce("DECISION", verdict) AS "FINAL" FROM p FULL JOIN d USING (s_suppkey)""")
 def decisions_join(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
-    decided = s.filter("s_suppkey % 3 = 0").select("s_suppkey", F.when(F.col("s_suppkey") % 9 == 0, "SI").otherwise("NO").alias("decision"))
-    return linking.apply_decisions(s.filter("s_suppkey % 2 = 0").select("s_suppkey", F.lit("automatico").alias("verdict")), decided, ["s_suppkey"])
+    decided = s.filter("s_acctbal < 3000").select("s_suppkey", F.when(F.col("s_suppkey") % 9 == 0, "SI").otherwise("NO").alias("decision"))
+    return linking.apply_decisions(s.select("s_suppkey", F.lit("automatico").alias("verdict")), decided, ["s_suppkey"])
 
 
 @query("entity_sheet", """WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_orderpriority) AS k FROM c),
