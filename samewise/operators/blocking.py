@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import identifiers as ids
 from ..functions import text
+from .tables import spread_join
 
 
 class CandidateBudgetExceeded(RuntimeError):
@@ -30,11 +31,18 @@ def _sized(keyed: DataFrame, max_block: int | None) -> DataFrame:
 
 
 def pairs_by_key(keyed: DataFrame, max_block: int | None = 2000, overflow: str = "skip", cross_only: bool = False, trusted: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs of rows (rec_id, key and, for a source policy, src) with equal keys."""
+    """Pairs of rows (rec_id, key and, for a source policy, src) with equal keys.
+
+    Blocks of more than max_block rows: overflow "skip" leaves them out (dropped_blocks() lists them), "connect" links
+    their rows in a chain, "exact" pairs them too, dealt over tasks, as max_block None does.
+    """
+    if overflow not in ("skip", "connect", "exact"):
+        raise ValueError(f"no overflow {overflow}")
+    max_block = None if overflow == "exact" else max_block
     src = ["src"] if cross_only or trusted else []
     sized = _sized(keyed.select("rec_id", "key", *src).distinct(), max_block)
     left, right = (sized.select("key", F.col("rec_id").alias(f"id_{s}"), *[F.col(c).alias(f"src_{s}") for c in src]) for s in "lr")
-    found = left.join(right, "key").filter("id_l < id_r")
+    found = (left.join(right, "key") if max_block else spread_join(left, right, ["key"])).filter("id_l < id_r")
     if src:
         found = found.filter(source_policy(F.col("src_l"), F.col("src_r"), cross_only, trusted))
     found = found.select("id_l", "id_r")
@@ -45,6 +53,12 @@ def pairs_by_key(keyed: DataFrame, max_block: int | None = 2000, overflow: str =
     return found.distinct()
 
 
+def dropped_blocks(keyed: DataFrame, max_block: int = 2000) -> DataFrame:
+    """(key, records, pairs) of the blocks that pairs_by_key() leaves out at max_block."""
+    counted = keyed.filter("key IS NOT NULL").select("rec_id", "key").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("records")).filter(F.col("records") > max_block)
+    return counted.withColumn("pairs", F.expr("records * (records - 1) div 2"))
+
+
 def check_budget(keyed: DataFrame, budget: int) -> int:
     """Pairs that the blocks would yield; raises beyond the budget, before any are made."""
     n = keyed.filter("key IS NOT NULL").groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0] or 0
@@ -126,7 +140,6 @@ def sorted_neighbourhood(records: DataFrame, by: str, window: int = 3) -> DataFr
 
 def geo_grid(records: DataFrame, size: float = 0.01, max_block: int | None = None) -> DataFrame:
     """Pairs in the same or a neighbouring cell of (lat, lon): all of them, unless max_block leaves larger cells out."""
-    from .tables import spread_join
 
     cell = records.filter("lat IS NOT NULL AND lon IS NOT NULL").select("rec_id", ids.grid_cell(F.col("lat"), size).alias("x"), ids.grid_cell(F.col("lon"), size).alias("y"))
     if max_block:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,25 +62,34 @@ def cannot_link(grouped: DataFrame) -> DataFrame:
     return rows.select("rec_id", new.alias("group"))
 
 
-def star_cover(grouped: DataFrame, threshold: float = 0.8, matrix_rows: int = 2000) -> DataFrame:
+def star_cover(grouped: DataFrame, threshold: float = 0.8) -> DataFrame:
     """rec_id, group: each group is covered greedily by leaders and the members near them.
 
-    grouped: rec_id, group, name. The leader covers most free names (ties: more rows, then the name);
-    beyond matrix_rows distinct names a group takes leaders in order of rows instead. Equal names are folded
-    before a group meets in its task.
+    grouped: rec_id, group, name. The leader covers most free names (ties: more rows, then the name), whatever
+    the group's size. Equal names are folded before a group meets in its task, which compares each two of its names.
     """
     names = grouped.groupBy("group", "name").agg(F.count(F.lit(1)).alias("rows"), F.min("rec_id").alias("least"))
 
     def cover(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["rows", "name"], ascending=[False, True]).reset_index(drop=True)
         values = pdf["name"].tolist()
-        near = lambda i, j: i == j or strings.token_set_ratio(values[i], values[j]) >= threshold
-        free, star = set(range(len(values))), {}
-        small = len(values) <= matrix_rows
-        reach = {i: {j for j in range(len(values)) if near(i, j)} for i in range(len(values))} if small else {}
+        reach, star, free = [{i} for i in range(len(values))], {}, set(range(len(values)))
+        for i, one in enumerate(values):
+            for j in range(i):
+                if strings.token_set_ratio(one, values[j]) >= threshold:
+                    reach[i].add(j)
+                    reach[j].add(i)
+        # what a leader covers only shrinks, so the best of the queue whose count still holds is the best of all
+        queue = [(-len(r), i) for i, r in enumerate(reach)]
+        heapq.heapify(queue)
         while free:
-            lead = max(free, key=lambda i: (len(reach[i] & free), -i)) if small else min(free)
-            taken = reach[lead] & free if small else {j for j in free if near(lead, j)}
+            count, lead = heapq.heappop(queue)
+            taken = reach[lead] & free
+            if lead not in free:
+                continue
+            if len(taken) < -count:
+                heapq.heappush(queue, (-len(taken), lead))
+                continue
             least = int(min(pdf["least"][j] for j in taken))
             star.update(dict.fromkeys(taken, least))
             free -= taken

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("samewise.shared.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="samewise-")
         spark.conf.set("samewise.shared.dir", named)
     return named.rstrip("/")

@@ -59,7 +59,7 @@ def link(spark: SparkSession, a: DataFrame, b: DataFrame, name: str, nit: str |
 
 
 def dedupe(spark: SparkSession, df: DataFrame, name: str, nit: str | None = None, **options) -> LinkageResult:
-    """One table: exact duplicates fold first, rows with and without identifier share the groups that their names allow."""
+    """One table as its only source: rows with and without identifier share the groups that their names allow."""
     return linkage(spark, {"BASE": df}, name, nit, **options)
 
 

@@ -13,7 +13,7 @@ from ..functions import comparators as cmp
 from ..functions import identifiers as ids
 from ..functions import text
 from ..operators import blocking, clusters, evaluation, golden, scoring
-from ..operators.tables import stored
+from ..operators.tables import spread_join, stored
 from ..sources import sinks
 from . import api
 
@@ -48,11 +48,33 @@ def names(spark, sf_dir):
 NAMES = "n AS (SELECT upper(p_name) AS name, min(p_partkey) AS rec_id FROM part GROUP BY upper(p_name))"
 
 
+def _near_spellings(p):
+    """(brand, nl, nr) of the different names of a brand whose distance is 15 % of the longer one or less, both ways; each spelling is compared once.
+
+    Names meet only where their lengths allow it: by brand and length, with as many lengths as the distance can bridge.
+    """
+    each = p.select("brand", "name").distinct().withColumn("n", F.length("name"))
+    left = each.toDF("brand", "nl", "len_l").withColumn("len_r", F.explode(F.sequence(F.col("len_l"), F.floor(F.col("len_l") / 0.85 + 1e-9).cast("int"))))
+    met = left.join(each.toDF("brand", "nr", "len_r"), ["brand", "len_r"]).filter("len_l < len_r OR nl < nr")
+    near = met.filter(100 * (F.col("len_r") - F.levenshtein("nl", "nr")) >= 85 * F.col("len_r")).select("brand", "nl", "nr")
+    return near.unionAll(near.select("brand", F.col("nr").alias("nl"), F.col("nl").alias("nr")))
+
+
 def near_names(spark, sf_dir):
     p = parts(spark, sf_dir).select("rec_id", "brand", "name")
     left, right = p.toDF("id_l", "brand", "nl"), p.toDF("id_r", "brand", "nr")
-    far = F.greatest(F.length("nl"), F.length("nr"))
-    return left.join(right, "brand").filter("id_l < id_r").filter(100 * (far - F.levenshtein("nl", "nr")) >= 85 * far).select("id_l", "id_r")
+    same = spread_join(left, right.withColumnRenamed("nr", "nl"), ["brand", "nl"])
+    other = spread_join(left.join(_near_spellings(p), ["brand", "nl"]), right, ["brand", "nr"])
+    return same.select("id_l", "id_r").unionAll(other.select("id_l", "id_r")).filter("id_l < id_r")
+
+
+def near_links(spark, sf_dir):
+    """Links that connect what near_names() pairs: each record with the first one of its name, and these with each other."""
+    p = parts(spark, sf_dir).select("rec_id", "brand", "name")
+    first = p.groupBy("brand", "name").agg(F.min("rec_id").alias("first"))
+    own = p.join(first, ["brand", "name"]).select(F.col("first").alias("id_l"), F.col("rec_id").alias("id_r")).filter("id_l <> id_r")
+    left, right = first.toDF("brand", "nl", "id_l"), first.toDF("brand", "nr", "id_r")
+    return own.unionAll(_near_spellings(p).filter("nl < nr").join(left, ["brand", "nl"]).join(right, ["brand", "nr"]).select("id_l", "id_r"))
 
 
 _NEAR = """p AS (SELECT p_partkey AS rec_id, upper(p_name) AS name, p_brand AS brand, p_type AS src FROM part),
@@ -72,13 +94,13 @@ _NEAR = """p AS (SELECT p_partkey AS rec_id, upper(p_name) AS name, p_brand AS b
 )
 def part_groups(spark, sf_dir):
     rows = parts(spark, sf_dir)
-    groups = clusters.components(rows, near_names(spark, sf_dir))
+    groups = clusters.components(rows, near_links(spark, sf_dir))
     return golden.group_metrics(groups.join(rows, "rec_id")).select("group", "SOURCES", "SOURCES_COUNT", "RECORDS_COUNT", "NAMES_COUNT")
 
 
 @query("components", f"WITH RECURSIVE {_NEAR} SELECT rec_id, grp AS \"group\" FROM grp")
 def components(spark, sf_dir):
-    return clusters.components(parts(spark, sf_dir), near_names(spark, sf_dir))
+    return clusters.components(parts(spark, sf_dir), near_links(spark, sf_dir))
 
 
 @query("near_name_pairs", f"WITH RECURSIVE {_NEAR} SELECT id_l, id_r FROM e")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import repair
 from ..operators import pairs
-from ..operators.blocking import pairs_by_key
+from ..operators.blocking import dropped_blocks, pairs_by_key
 
 QUERIES, ORACLES = {}, {}
 
@@ -101,6 +101,11 @@ def blocking_recall(spark, sf_dir):
     return pairs.blocking_recall(s, pairs_by_key(keyed), "s_nationkey", F.abs(F.col("l.v") - F.col("r.v")) <= 10)
 
 
+@query("dropped_blocks", """SELECT key, records, CAST(records * (records - 1) // 2 AS BIGINT) AS pairs FROM (SELECT p_type || '/' || p_brand AS key, CAST(count(DISTINCT p_partkey) AS BIGINT) AS records FROM part GROUP BY 1) WHERE records > 15""")
+def oversize_blocks(spark, sf_dir):
+    return dropped_blocks(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("rec_id"), F.concat_ws("/", "p_type", "p_brand").alias("key")), 15)
+
+
 @query("conformance_verdicts", """WITH e AS (SELECT a.s_nationkey AS "case", a.s_suppkey AS id_l, b.s_suppkey AS id_r, a.s_suppkey % 3 = b.s_suppkey % 3 AS same, abs(a.s_acctbal - b.s_acctbal) < 3000 AS got
     FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey)
     SELECT "case", CAST(count(*) AS BIGINT) AS pairs, CAST(count(*) FILTER (same = got) AS BIGINT) AS good, CASE WHEN count(*) = count(*) FILTER (same = got) THEN 'PASS' ELSE 'FAIL' END AS verdict FROM e GROUP BY 1""")

@@ -9,7 +9,7 @@ from collections import Counter
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Values that stand for null on read (fixed values).
@@ -171,12 +171,19 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 
 def consolidate(sources: dict[str, DataFrame]) -> DataFrame:
-    """All sources by name, with SRC and a row number of the source (ORIGINAL_INDEX) from the content's order."""
+    """All sources by name, with SRC and a number of the row (ORIGINAL_INDEX) that follows from its content, whatever the partitions.
+
+    Equal rows of a source are numbered among themselves, and their number is part of what is hashed.
+    """
     whole = None
     for name, df in sources.items():
         if "|" in name:
             raise ValueError("a source's name has no |")
-        part = df.withColumns({"SRC": F.lit(name), "ORIGINAL_INDEX": F.monotonically_increasing_id()})
+        content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        number = F.row_number().over(Window.partitionBy("__content").orderBy(F.lit(1)))
+        part = df.withColumn("__content", content).withColumn("__number", number)
+        index = F.shiftrightunsigned(F.xxhash64("__content", "__number"), 1)
+        part = part.withColumns({"SRC": F.lit(name), "ORIGINAL_INDEX": index}).drop("__content", "__number")
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
     return whole
 
@@ -189,7 +196,7 @@ def load_report(df: DataFrame) -> DataFrame:
 
 def latest_decisions(files: list[DataFrame], keys: list[str]) -> DataFrame:
     """Decision rows where a later file wins over an earlier one."""
-    from pyspark.sql import Window
+
 
     whole = None
     for i, df in enumerate(files):

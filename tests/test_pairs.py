@@ -72,3 +72,74 @@ def test_pair_sets(spark):
     assert pairs.group_pairs(none, "id", "label").count() == 0
     said = pairs.pair_confusion(pairs.group_pairs(rows.filter("id >= 300"), "id", "label"), pairs.group_pairs(rows.filter("id >= 298"), "id", "label")).collect()
     assert sorted(map(tuple, said)) == [(298, 299, "FP"), (302, 303, "TP")]
+
+
+def test_near_spellings_against_all_pairs(spark):
+    from samewise.functions import strings
+    from samewise.plans import catalog
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("ab", k=n)) for n in (5, 6, 7, 8, 12, 13, 14) for _ in range(8)]
+    rows = spark.createDataFrame([("x", w) for w in words], "brand string, name string")
+    got = {(r["nl"], r["nr"]) for r in catalog._near_spellings(rows).collect()}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    assert got == {(a, b) for a in words for b in words if a != b and 100 * (max(len(a), len(b)) - distance(a, b)) >= 85 * max(len(a), len(b))}
+    assert strings.token_set_ratio("a b", "b a") == 1
+
+
+def test_oversize_blocks_have_an_exact_way(spark):
+    from samewise.operators import blocking
+
+    keyed = spark.createDataFrame([(i, "hot" if i < 40 else f"k{i // 2}") for i in range(60)], "rec_id long, key string")
+    whole = {(a, b) for a in range(40) for b in range(a + 1, 40)} | {(i, i + 1) for i in range(40, 60, 2)}
+    found = lambda **o: {(r["id_l"], r["id_r"]) for r in blocking.pairs_by_key(keyed, 10, **o).collect()}
+    assert found(overflow="exact") == whole and len(found()) == 10 and [tuple(r) for r in blocking.dropped_blocks(keyed, 10).collect()] == [("hot", 40, 780)]
+    assert len(found(overflow="connect")) == 10 + 39
+    with pytest.raises(ValueError):
+        found(overflow="other")
+
+
+def test_star_cover_of_a_large_group(spark):
+    """2100 names in one group: leaders by what they cover, as in the small case."""
+    from samewise.functions import strings
+    from samewise.operators import clusters
+
+    rng = random.Random(4)
+    rows = [(i, 1, f"w{i % 700} {rng.choice('abc')}{i % 350}") for i in range(2150)]
+    got = {r["rec_id"]: r["group"] for r in clusters.star_cover(spark.createDataFrame(rows, "rec_id long, group long, name string"), 0.9).collect()}
+    names = {}
+    for i, _, n in rows:
+        names.setdefault(n, []).append(i)
+    ordered = sorted(names, key=lambda n: (-len(names[n]), n))
+    reach = {n: {n} for n in ordered}
+    for i, a in enumerate(ordered):
+        for b in ordered[:i]:
+            if strings.token_set_ratio(a, b) >= 0.9:
+                reach[a].add(b)
+                reach[b].add(a)
+    free, want = set(ordered), {}
+    while free:
+        lead = max((n for n in ordered if n in free), key=lambda n: len(reach[n] & free))
+        taken = reach[lead] & free
+        for n in taken:
+            for r in names[n]:
+                want[r] = min(min(names[m]) for m in taken)
+        free -= taken
+    assert got == want
+
+
+def test_row_numbers_follow_from_content(spark):
+    from samewise.sources.readers import consolidate
+
+    rows = [("a", i % 3) for i in range(9)] + [("b", None)]
+    one, two = (spark.createDataFrame(r, "x string, y long").repartition(n) for r, n in ((rows, 3), (rows[::-1], 7)))
+    numbers = [sorted((r["x"], r["y"] or -1, r["ORIGINAL_INDEX"]) for r in consolidate({"S": df}).collect()) for df in (one, two)]
+    assert numbers[0] == numbers[1] and len({n for *_, n in numbers[0]}) == 10
