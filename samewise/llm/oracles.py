@@ -36,7 +36,46 @@ def _license_scan() -> str:
         FROM t LEFT JOIN f USING (rid)"""
 
 
+def _url_rules() -> str:
+    """Rules by counting every combination of tokens of every labelled page."""
+    from .url_rules import MIN_CONFIDENCE, MIN_SUPPORT, RULES
+
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
+    subsets = "list_sort(list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS ts"
+    masks = "unnest(range(1, CAST(1 AS BIGINT) << len(tokens))) u(mask)"
+    return f"""
+        WITH r AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        h AS (SELECT row_number() OVER () AS rid, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+        s AS (SELECT *, list_filter(string_split(host, '.'), lambda w: w <> '') AS names, list_filter(string_split(path, '/'), lambda w: w <> '') AS segments FROM h),
+        t AS (SELECT rid, page_id, host, path, list_distinct(list_concat(list_transform(names, lambda w, i: 'host:' || array_to_string(names[i:], '.')),
+            list_transform(segments, lambda w: 'path:' || regexp_replace(w, '[0-9]+', '0', 'g')))) AS tokens FROM s),
+        known AS (SELECT tokens, CASE WHEN toxic = 1 OR quality = 0 THEN 'block' ELSE 'allow' END AS verdict FROM t JOIN labels l ON l.doc_id = t.page_id),
+        held AS (SELECT verdict, {subsets} FROM known, {masks}),
+        whole AS (SELECT count(*) AS n FROM known),
+        mined AS (SELECT ts, verdict, c, c / sum(c) OVER (PARTITION BY ts) AS confidence, c / n AS support FROM (SELECT ts, verdict, count(*) AS c FROM held GROUP BY ts, verdict), whole),
+        kept AS (SELECT mined.* FROM mined, whole WHERE c >= ceil({MIN_SUPPORT} * n) AND confidence >= {MIN_CONFIDENCE}),
+        own AS (SELECT rid, {subsets} FROM t, {masks}),
+        best AS (SELECT rid, max((confidence, support, verdict))[3] AS verdict FROM own JOIN kept USING (ts) GROUP BY rid),
+        rules AS (SELECT * FROM (VALUES {rules}) v(verdict, host, path)),
+        named AS (SELECT rid, arg_max(x.host || x.path, length(x.host || x.path)) AS rule, arg_max(x.verdict, length(x.host || x.path)) AS verdict
+            FROM t JOIN rules x ON (t.host = x.host OR ends_with(t.host, '.' || x.host)) AND starts_with(t.path, x.path) GROUP BY rid)
+        SELECT page_id, host, path, rule, coalesce(named.verdict, best.verdict, 'allow') AS verdict FROM t LEFT JOIN named USING (rid) LEFT JOIN best USING (rid)"""
+
+
 ORACLES = {
+    "op4_ngram_join": f"""
+        WITH RECURSIVE t AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
+        s AS (SELECT DISTINCT rid, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+            ELSE list_transform(range(len(words) - 3), lambda i: array_to_string(words[i + 1 : i + 4], ' ')) END) AS shingle FROM t),
+        n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+        common AS (SELECT a.rid AS l, b.rid AS r, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.rid < b.rid GROUP BY ALL),
+        links AS (SELECT l, r FROM common JOIN n x ON x.rid = l JOIN n y ON y.rid = r WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        linked AS (SELECT l AS a, r AS b FROM links UNION SELECT r, l FROM links),
+        reach AS (SELECT a, b FROM linked UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a),
+        lowest AS (SELECT a AS rid, min(doc_id) AS other FROM reach JOIN t ON t.rid = reach.b GROUP BY a)
+        SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(t.doc_id, lowest.other) AS component_id
+        FROM t LEFT JOIN n USING (rid) LEFT JOIN lowest USING (rid)""",
+    "op6_url_rules": _url_rules(),
     "op7_license_scan": _license_scan(),
     "op1_chat_format": f"""
         WITH t AS (
