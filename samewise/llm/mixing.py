@@ -4,7 +4,7 @@ Domains come from the labelled table (plain, poor, toxic). A naive Bayes classif
 that occur in a document (its words, and tokens for its length, its shares of marks, distinct and
 repeated words, and whether all is in capitals; each counts once) gives each document domain posteriors p. It is fitted by aggregation on a bounded sample
 of labelled rows; only in terms that more of its documents hold, by SURPRISE
-standard errors or more, than of the others has a domain (but the first) an estimate of its own. Half of the sample is set aside first to measure the confusion.
+standard errors or more, than of the first one has a domain (but the first) an estimate of its own. Half of the sample is set aside first to measure the confusion.
 
 Rates r >= 0 are then sought for which the expected tokens sum(r * tokens * p) of each domain match the
 targets: least squares, each domain's residual divided by those of its tokens whose rate is above 0, by
@@ -36,6 +36,8 @@ SAMPLE_PER_DOMAIN, STEPS, TOLERANCE = 1500, 60, 1e-7
 MARKS = "|$%&*#!"
 #: Columns of hashed terms, standard errors and rows that make a term count, and what the evidence is divided by, as words are not independent.
 BUCKETS, SURPRISE, LEAST_TERM, TEMPERATURE = 1 << 16, 6.0, 5, 1.0
+#: A term that fewer of a domain's documents hold says more of a group of copies than of the domain.
+LEAST_SHARE = 0.1
 #: A domain with fewer labelled rows among the documents is not modelled.
 LEAST_ROWS = 10
 
@@ -95,14 +97,13 @@ def _learn(sample: DataFrame) -> dict:
     used = [d for d in DOMAINS if d in sizes]
     if not used:
         return {"sizes": {}, "weights": {}, "base": {}}
-    total = sum(sizes.values())
-    each = sample.filter(F.col("domain").isin(used)).select("domain", F.explode("terms").alias("term")).groupBy("term").pivot("domain", used).count().na.fill(0)
+    each = sample.filter(F.col("domain").isin(used)).select("domain", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").pivot("domain", used).count().na.fill(0)
     everywhere = sum((F.col(d) for d in used), F.lit(0))
     surprises = [F.lit(0.0)]  # the first domain is what the others stand out from
     for d in used[1:]:
-        pooled, others = everywhere / total, max(1, total - sizes[d])
-        surprises.append((F.col(d) / sizes[d] - (everywhere - F.col(d)) / others) / F.sqrt(pooled * (1 - pooled) * (1.0 / sizes[d] + 1.0 / others) + 1e-9))
-    apart = F.array(*[s >= SURPRISE for s in surprises])
+        first, pooled = used[0], (F.col(d) + F.col(used[0])) / (sizes[d] + sizes[used[0]])
+        surprises.append((F.col(d) / sizes[d] - F.col(first) / sizes[first]) / F.sqrt(pooled * (1 - pooled) * (1.0 / sizes[d] + 1.0 / sizes[first]) + 1e-9))
+    apart = F.array(*[(s >= SURPRISE) & (F.col(d) >= LEAST_SHARE * sizes[d]) for d, s in zip(used, surprises)])
     telling = each.filter((everywhere >= LEAST_TERM) & F.array_contains(apart, True))
     rows = telling.select("term", apart.alias("apart"), *used).orderBy("term").collect()  # at most BUCKETS rows
     # domains that do not stand out in a term share one estimate of it
@@ -129,7 +130,7 @@ def _evidence(learned: dict) -> tuple[Column, dict[str, Column]]:
     if not weights:
         return F.lit(None).cast("array<int>"), {}
     flags = _held(np.any([w != 0 for w in weights.values()], axis=0))
-    return F.filter("terms", lambda b: F.get(flags, b) > 0), {d: _summed(_held(w), learned["base"][d]) for d, w in weights.items()}
+    return F.array_distinct(F.filter("terms", lambda b: F.get(flags, b) > 0)), {d: _summed(_held(w), learned["base"][d]) for d, w in weights.items()}
 
 
 def _summed(held: Column, base: float) -> Column:

@@ -285,13 +285,14 @@ def brute_posteriors(texts, domains):
     rows = [terms(t) for t in texts]
     sizes = {d: domains.count(d) for d in mixing.DOMAINS}
     held = {d: {b: sum(b in r for r, e in zip(rows, domains) if e == d) for b in set().union(*rows)} for d in mixing.DOMAINS}
-    total, telling = len(rows), {}
+    telling = {}
     for b in sorted(set().union(*rows)):
         whole = sum(held[d][b] for d in mixing.DOMAINS)
-        pooled, own = whole / total, set()
+        own, first = set(), mixing.DOMAINS[0]
         for d in mixing.DOMAINS[1:]:
-            apart = held[d][b] / sizes[d] - (whole - held[d][b]) / (total - sizes[d])
-            if apart / np.sqrt(pooled * (1 - pooled) * (1 / sizes[d] + 1 / (total - sizes[d])) + 1e-9) >= mixing.SURPRISE:
+            pooled = (held[d][b] + held[first][b]) / (sizes[d] + sizes[first])
+            apart = held[d][b] / sizes[d] - held[first][b] / sizes[first]
+            if apart / np.sqrt(pooled * (1 - pooled) * (1 / sizes[d] + 1 / sizes[first]) + 1e-9) >= mixing.SURPRISE and held[d][b] >= mixing.LEAST_SHARE * sizes[d]:
                 own.add(d)
         if whole >= mixing.LEAST_TERM and own:
             rest = [d for d in mixing.DOMAINS if d not in own]
@@ -314,6 +315,12 @@ def test_posteriors_against_brute_force(spark):
     assert np.abs(got - want).max() < 1e-6 and (got.argmax(axis=1) == [mixing.DOMAINS.index(r["domain"]) for r in rows]).mean() > 0.9
 
 
+def test_terms_that_share_a_column_count_once(spark):
+    rows = [("plain", [1, 1, 2])] * 30 + [("poor", [1, 1, 3, 3])] * 20
+    learned = mixing._learn(spark.createDataFrame(rows, "domain string, terms array<int>"))
+    assert all(np.isfinite(w).all() for w in learned["weights"].values()) and np.isfinite(learned["base"]["poor"]) and learned["weights"]["poor"][3] > 5
+
+
 def test_mixing_tells_held_out_domains_apart(spark):
     """On sf0.1 42 % of the documents labelled toxic hold none of the words that mark the others: no more than 58 % can be told."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
