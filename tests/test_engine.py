@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from samewise.functions import comparators, strings, text
 from samewise.functions import identifiers as ids
-from samewise.operators import blocking, clusters, evaluation, scoring
+from samewise.operators import blocking, clusters, evaluation, golden, scoring
 from samewise.plans import api, catalog
 from samewise.sources import readers, sinks
 from samewise.streaming.incremental import fold_bases
@@ -152,3 +152,12 @@ def test_geo_grid_keeps_hot_cells(spark):
     near = spark.range(5000, 5001).select(F.col("id").alias("rec_id"), F.lit(0.015).alias("lat"), F.lit(0.005).alias("lon"))
     pairs = blocking.geo_grid(hot.unionByName(near))
     assert pairs.count() == 2100 * 2099 // 2 + 2100
+
+
+def test_quality_report_takes_repeated_digits_by_length(spark):
+    keys = ["11111", "111111", "77777777", "111111111", "1111111111", "22222222222", "1111111111111111", "123456", None]
+    rows = spark.createDataFrame([("a name", k) for k in keys], "name string, nit string")
+    made = rows.select("nit", ids.process_nit(F.col("nit")).alias("p")).collect()
+    assert [(r["p"]["NIT_VALID"], r["p"]["NIT_BASE"]) for r in made] == [(False, ""), (True, "111111"), (True, "77777777"), (False, ""), (False, ""), (True, "22222222222"), (False, ""), (True, "123456"), (False, "")]
+    got = golden.quality_report(rows, F.col("name"), F.col("nit")).first()
+    assert (got["rows"], got["invalid_nits"], got["repeated"]) == (9, 5, 0)
