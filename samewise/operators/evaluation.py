@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import spread_join
+
 
 def _pairs(n):
     return n * (n - 1) / 2
@@ -57,6 +59,30 @@ def blocking_quality(pairs: DataFrame, truth: DataFrame, n_records: int) -> Data
     return hit.join(F.broadcast(total)).select(F.round(F.col("hit") / F.greatest(F.col("total"), F.lit(1)), 6).alias("pair_completeness"), F.round(1 - F.col("n") / F.lit(max(1.0, n_records * (n_records - 1) / 2)), 6).alias("reduction_ratio"))
 
 
+def key_blocking_quality(rows: DataFrame) -> DataFrame:
+    """blocking_quality() of the pairs that share a key, without making them. rows: (rec_id, truth, keys), keys an array.
+
+    Rows with the same set of keys and the same truth are counted together, so the work grows with the rows and with the
+    pairs of different sets that share a key. Rows of one rec_id are no pair; null rec_ids, keys and truths pair with none.
+    """
+    known = F.array_sort(F.array_distinct(F.filter("keys", lambda k: k.isNotNull())))
+    unit = rows.filter("rec_id IS NOT NULL").select("rec_id", "truth", known.alias("keys")).filter(F.size("keys") > 0).groupBy("rec_id", "truth", "keys").agg(F.count(F.lit(1)).alias("m"))
+    cell = unit.groupBy("truth", "keys").agg(F.sum("m").alias("n"))
+    held = cell.groupBy("keys").agg(F.sum("n").alias("n"))
+    by_key = held.select("keys", F.explode("keys").alias("key"))
+    meet = spread_join(by_key.withColumnRenamed("keys", "kl"), by_key.withColumnRenamed("keys", "kr"), ["key"]).select("kl", "kr").distinct()
+    n = meet.join(held.toDF("kl", "nl"), "kl").join(held.toDF("kr", "nr"), "kr").agg(F.coalesce(F.sum(F.col("nl") * F.col("nr")), F.lit(0)).alias("n"))
+    same = meet.join(cell.toDF("truth", "kl", "nl"), "kl").join(cell.toDF("truth", "kr", "nr"), ["truth", "kr"]).agg(F.coalesce(F.sum(F.col("nl") * F.col("nr")), F.lit(0)).alias("hit"))
+    # ordered pairs within one rec_id, each row with itself among them
+    within = "aggregate(u, 0L, (s, a) -> s + aggregate(u, 0L, (t, b) -> t + if(arrays_overlap(a.keys, b.keys){}, a.m * b.m, 0L)))"
+    own = unit.groupBy("rec_id").agg(F.collect_list(F.struct("truth", "keys", "m")).alias("u")).select(F.expr(within.format("")).alias("n"), F.expr(within.format(" AND a.truth = b.truth")).alias("hit"))
+    own = own.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("own_n"), F.coalesce(F.sum("hit"), F.lit(0)).alias("own_hit"))
+    total = rows.groupBy("truth").agg(F.count(F.lit(1)).alias("k")).agg(F.sum(_pairs(F.col("k"))).alias("total"), F.sum("k").alias("all"))
+    one = n.join(F.broadcast(same)).join(F.broadcast(own)).join(F.broadcast(total))  # one row each
+    found, hit = (F.col("n") - F.col("own_n")) / 2, (F.col("hit") - F.col("own_hit")) / 2
+    return one.select(F.round(hit / F.greatest(F.col("total"), F.lit(1)), 6).alias("pair_completeness"), F.round(1 - found / F.greatest(_pairs(F.col("all")), F.lit(1)), 6).alias("reduction_ratio"))
+
+
 def stratified_sample(df: DataFrame, stratum: str, key: str, n: int) -> DataFrame:
     """About n rows in proportion to the strata, one at least of each; by hash of key, so always the same ones."""
     counts = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("k"))

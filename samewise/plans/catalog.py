@@ -419,9 +419,7 @@ def annotator_kappa(spark, sf_dir):
 @query("blocking_quality", """WITH p AS (SELECT p_partkey AS rec_id, upper(p_name) AS name, p_brand AS brand FROM part), b AS (SELECT a.rec_id AS l, b.rec_id AS r, a.name = b.name AS hit FROM p a JOIN p b ON a.brand = b.brand AND a.rec_id < b.rec_id)
     SELECT round(count(*) FILTER (hit) / (SELECT sum(k * (k - 1) / 2) FROM (SELECT count(*) AS k FROM p GROUP BY name)), 6) AS pair_completeness, round(1 - count(*) / ((SELECT count(*) FROM p) * ((SELECT count(*) FROM p) - 1) / 2), 6) AS reduction_ratio FROM b""")
 def blocking_quality(spark, sf_dir):
-    p = parts(spark, sf_dir)
-    pairs = blocking.pairs_by_key(p.select("rec_id", F.col("brand").alias("key")), None)
-    return evaluation.blocking_quality(pairs, p.select("rec_id", F.col("name").alias("truth")), p.count())
+    return evaluation.key_blocking_quality(parts(spark, sf_dir).select("rec_id", F.col("name").alias("truth"), F.array("brand").alias("keys")))
 
 
 @query("quality_report", """WITH k AS (SELECT p_name AS name, CAST(p_partkey AS VARCHAR) AS nit, length(CAST(p_partkey AS VARCHAR)) BETWEEN 6 AND 15 AS ok FROM part)

@@ -4,7 +4,10 @@ import glob
 import itertools
 import math
 import os
+import random
 import sys
+import time
+from collections import Counter
 
 import duckdb
 import pytest
@@ -161,3 +164,26 @@ def test_quality_report_takes_repeated_digits_by_length(spark):
     assert [(r["p"]["NIT_VALID"], r["p"]["NIT_BASE"]) for r in made] == [(False, ""), (True, "111111"), (True, "77777777"), (False, ""), (False, ""), (True, "22222222222"), (False, ""), (True, "123456"), (False, "")]
     got = golden.quality_report(rows, F.col("name"), F.col("nit")).first()
     assert (got["rows"], got["invalid_nits"], got["repeated"]) == (9, 5, 0)
+
+
+def test_key_blocking_quality(spark):
+    rng = random.Random(5)
+    one_key = [(i, rng.choice(["a", "b", None]), [rng.choice(["x", "y", None])]) for i in range(40)]
+    many_keys = [(i % 35 if i else None, rng.choice(["a", "b", None]), rng.sample(["x", "y", "z", "w", None], rng.randint(0, 3))) for i in range(40)]
+    for rows in (one_key, many_keys):
+        pairs = [(a, b) for a, b in itertools.combinations(rows, 2) if None not in (a[0], b[0]) and a[0] != b[0] and {*a[2]} & {*b[2]} - {None}]
+        true = sum(k * (k - 1) // 2 for k in Counter(t for _, t, _ in rows).values())
+        want = (round(sum(a[1] == b[1] is not None for a, b in pairs) / true, 6), round(1 - len(pairs) / (40 * 39 / 2), 6))
+        assert tuple(evaluation.key_blocking_quality(spark.createDataFrame(rows, "rec_id long, truth string, keys array<string>")).first()) == want
+    assert tuple(evaluation.key_blocking_quality(spark.createDataFrame([], "rec_id long, truth string, keys array<string>")).first()) == (0.0, 1.0)
+
+
+def test_blocking_quality_makes_no_pairs(spark, tmp_path):
+    # blocks of 20000 rows: 400 million pairs before
+    spark.range(40_000).selectExpr("id AS p_partkey", "concat('n', id % 7) AS p_name", "concat('b', id % 2) AS p_brand", "'t' AS p_type").write.parquet(f"{tmp_path}/part.parquet")
+    start = time.monotonic()
+    got = catalog.blocking_quality(spark, str(tmp_path)).first()
+    sizes = Counter((i % 7, i % 2) for i in range(40_000)), Counter(i % 7 for i in range(40_000))
+    hits, true = (sum(k * (k - 1) // 2 for k in c.values()) for c in sizes)
+    assert tuple(got) == (round(hits / true, 6), round(1 - 20_000 * 19_999 / (40_000 * 39_999 / 2), 6))
+    assert time.monotonic() - start < 30
