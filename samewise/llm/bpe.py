@@ -32,7 +32,7 @@ import regex
 import tokenizers
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import give_back, lean, small_batches
 
 #: Words that a task keeps encoded; beyond it the memory is emptied and filled anew.
 WORD_CACHE = 150_000
@@ -227,15 +227,18 @@ class Encoder:
 
     def __init__(self, bpe: Bpe):
         self.bpe, self.memory = bpe, {}
-        steps = json.loads(bpe.source)
-        # for code points that only newer tables know: the file's own normaliser and split pattern, of the tokenizers library
-        whole = tokenizers.Tokenizer.from_str(bpe.source)
-        splitter = tokenizers.pre_tokenizers.Split(tokenizers.Regex(next(p["pattern"]["Regex"] for p in steps["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")), "removed", invert=True)
-        self.odd_normalise = whole.normalizer.normalize_str
-        self.odd_split = lambda chunk: [piece for piece, _ in splitter.pre_tokenize_str(chunk)]
         self.assigned: set[str] = set()
         self.special = re.compile("(" + "|".join(map(re.escape, bpe.special)) + ")") if bpe.special else None
 
+    @functools.cached_property
+    def odd(self) -> tuple:
+        """For code points that only newer tables know: the file's own normaliser and split pattern, of the tokenizers library. Read when first needed."""
+        steps = json.loads(self.bpe.source)
+        # the normaliser does not need the vocabulary, which is most of the file's memory
+        bare = tokenizers.Tokenizer.from_str(json.dumps(steps | {"model": steps["model"] | {"vocab": {}, "merges": []}, "added_tokens": []}))
+        splitter = tokenizers.pre_tokenizers.Split(tokenizers.Regex(next(p["pattern"]["Regex"] for p in steps["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")), "removed", invert=True)
+        return bare.normalizer.normalize_str, lambda chunk: [piece for piece, _ in splitter.pre_tokenize_str(chunk)]
+
     def known(self, text: str) -> bool:
         """Whether the interpreter's tables know all code points."""
         if text.isascii() or self.assigned.issuperset(text):
@@ -244,7 +247,7 @@ class Encoder:
         return self.assigned.issuperset(text)
 
     def split(self, chunk: str) -> list[str]:
-        return self.bpe.pattern.findall(chunk) if self.known(chunk) else self.odd_split(chunk)
+        return self.bpe.pattern.findall(chunk) if self.known(chunk) else self.odd[1](chunk)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
@@ -259,7 +262,7 @@ class Encoder:
                 if part in self.bpe.special:
                     row.append(np.array([self.bpe.special[part]], dtype="<u4").tobytes())
                 elif part:
-                    low = normalised(part) if self.known(part) else self.odd_normalise(part)
+                    low = normalised(part) if self.known(part) else self.odd[0](part)
                     chunks = [c for c in _SPACES.split(low) if c] if _ODD_SPACES.search(low) else low.split()
                     row.append(chunks)
                     fresh.update(dict.fromkeys(c for c in chunks if c not in memory))
@@ -291,7 +294,7 @@ def _read(path: str) -> str:
 
 
 #: Bytes of text that are encoded at once.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 500_000
 
 
 def _slices(texts: list[str | None]):
@@ -320,6 +323,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("
         encoder = _encoder(file.value)
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
+            coded = flat = column = made = None
             for lo, hi in _slices(texts):
                 coded = encoder.encode(texts[lo:hi])
                 offsets = np.zeros(len(coded) + 1, dtype=np.int32)
@@ -330,8 +334,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("
                 if decoded:
                     made.append(pa.array([hashlib.sha256(decode(encoder.bpe, np.frombuffer(c, dtype="<u4")).encode("utf-8")).hexdigest() for c in coded], pa.string()))
                 yield pa.RecordBatch.from_arrays(made, [*keep, "ids", "decoded_sha256"][: len(made)])
+            del texts, coded, flat, column, made
+            give_back()
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def decode_documents(coded: DataFrame, tokenizer: str, digests: bool = False) -> DataFrame:
@@ -360,4 +366,4 @@ def decode_documents(coded: DataFrame, tokenizer: str, digests: bool = False) ->
             else:
                 yield pa.RecordBatch.from_arrays([*heads, ids, pa.array([decode(bpe, p) for p in parts], pa.string())], [*keep, "ids", "decoded"])
 
-    return source.mapInArrow(run, f"{head}, {tail}" if head else tail)
+    return source.mapInArrow(lean(run), f"{head}, {tail}" if head else tail)

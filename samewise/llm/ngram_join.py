@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import bitmap, by_slot, in_bitmap, remove, slots, small_batches, spread_join, stored, work_dir
+from .common import bitmap, by_slot, in_bitmap, lean, remove, slots, small_batches, spread_join, stored, work_dir
 from .components import components
 
 #: Counters of n-gram frequency, bits of the filter for candidate texts, fragments of the order.
@@ -102,7 +102,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
         if len(full):
             yield pa.RecordBatch.from_arrays([pa.array([1], kinds[0]), *(pa.nulls(1).cast(k) for k in kinds[1:5]), pa.array([full.tolist()], kinds[5]), pa.array([counts[full].tolist()], kinds[6])], names)
 
-    return _keyed(docs).mapInArrow(run, "kind int, doc_id bigint, row_key bigint, n bigint, digest binary, slots array<int>, counts array<bigint>")
+    return _keyed(docs).mapInArrow(lean(run), "kind int, doc_id bigint, row_key bigint, n bigint, digest binary, slots array<int>, counts array<bigint>")
 
 
 def _order(sets: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,7 +153,7 @@ def _prefixes(docs: DataFrame, size: int, num: int, den: int, ranks: np.ndarray,
                 salt = np.where(hot[(flat >> np.uint64(46)).astype(np.int64)], np.array([d[0] for d in nodes])[owner], -1)
                 yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), node, pa.array(pos.astype(np.int32)), pa.array(np.array(totals, dtype=np.int32)[owner]), pa.array(salt.astype(np.int32))], names)
 
-    return _keyed(docs).mapInArrow(run, "token bigint, node binary, pos int, n int, salt int")
+    return _keyed(docs).mapInArrow(lean(run), "token bigint, node binary, pos int, n int, salt int")
 
 
 def _fragments(docs: DataFrame, size: int, ranks: np.ndarray, pivots: np.ndarray, wanted: np.ndarray) -> DataFrame:
@@ -184,7 +184,7 @@ def _fragments(docs: DataFrame, size: int, ranks: np.ndarray, pivots: np.ndarray
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(tokens)))
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(totals, pa.int32()), pa.array(parts, pa.int32()), column], ["node", "n", "part", "tokens"])
 
-    return _keyed(docs).mapInArrow(run, "node binary, n int, part int, tokens array<bigint>")
+    return _keyed(docs).mapInArrow(lean(run), "node binary, n int, part int, tokens array<bigint>")
 
 
 def _reach(nu: Column, nv: Column, overlap: Column, num: int, den: int) -> Column:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import lean, small_batches
 
 SAMPLE_PER_CLASS, DIMENSIONS, NEIGHBOURS, POWER, BLOCK, WORDS, GRID = 2000, 48, 15, 8, 256, 2048, 2048
 #: Words whose columns a task keeps.
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Voter | N
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *packed], ["doc_id", "y", "at", "x"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
-    rows = texts.mapInArrow(run, "doc_id bigint, y int, at binary, x binary").toArrow().sort_by("doc_id")
+    rows = texts.mapInArrow(lean(run), "doc_id bigint, y int, at binary, x binary").toArrow().sort_by("doc_id")
     if not rows.num_rows:
         return None
     x = np.zeros((rows.num_rows, TERMS), dtype=np.float32)
@@ -174,7 +174,7 @@ def score_documents(docs: DataFrame, voter: Voter | None, keep: tuple[str, ...]
                 scores = model.value.score(np.stack([terms(t) for t in texts])) if model.value is not None else np.full(len(texts), 0.5)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], ["kept", "score"])
 
-    return source.mapInArrow(run, T.StructType([source.schema["kept"], T.StructField("score", T.DoubleType())])).select("kept.*", F.col("score").alias("__score"))
+    return source.mapInArrow(lean(run), T.StructType([source.schema["kept"], T.StructField("score", T.DoubleType())])).select("kept.*", F.col("score").alias("__score"))
 
 
 def keep_above(docs: DataFrame, voter: Voter | None, least: float = 0.5) -> DataFrame:

@@ -2,14 +2,16 @@
 
 import random
 import re
+import unicodedata
 
 import numpy as np
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from samewise.llm import license_scan, mixing, quality, url_rules
-from samewise.llm.queries import QUERIES
+from samewise.llm import bpe, common, license_scan, mixing, quality, url_rules
+from samewise.llm.queries import QUERIES, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
 
@@ -374,3 +376,20 @@ def test_pipeline_stages(spark, stages):
 def test_pipeline_run_agrees(spark, stages):
     got = corpus_pipeline.run(spark, SF).select(F.sum(F.xxhash64("doc_id", "ids").cast("decimal(38,0)"))).first()
     assert got == stages[-1].select(F.sum(F.xxhash64("doc_id", "ids").cast("decimal(38,0)"))).first()
+
+
+def test_encoder_reads_the_tokenizers_library_only_when_needed():
+    encoder = bpe.Encoder(bpe.Bpe.parse(bpe._read(tokenizer_path())))
+    texts = ["plain words", "café 中文", None, ""]
+    encoder.encode(texts)
+    assert "odd" not in vars(encoder)
+    newer = "".join(c for c in map(chr, range(0x10D40, 0x10D90)) if unicodedata.category(c) == "Cn") + " a͸b"
+    whole = tokenizers.Tokenizer.from_file(tokenizer_path())
+    assert np.frombuffer(encoder.encode([newer])[0], dtype="<u4").tolist() == whole.encode(newer, add_special_tokens=False).ids
+    assert "odd" in vars(encoder)
+
+
+def test_lean_gives_back_at_the_end_of_a_task(monkeypatch):
+    said = []
+    monkeypatch.setattr(common, "give_back", lambda: said.append("back"))
+    assert list(common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3] and said == ["back"]
