@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identifiers as ids
@@ -85,3 +85,19 @@ def dedupe_schema(records: DataFrame, schema: scoring.Schema) -> tuple[DataFrame
     pairs = stored(auto_blocking(records, schema).select("id_l", "id_r"), "pairs")
     decisions = stored(scoring.decide_fields(pairs, records, schema), "decisions")
     return clusters.constrained(records, decisions), decisions
+
+
+def dedupe_by_key(records: DataFrame, key: Column, schema: scoring.Schema) -> DataFrame:
+    """(rec_id, group) by the declarative engine over all pairs with equal key, blocks of any size.
+
+    Records that agree in key and all fields are one class: pairs are made between classes, and one within each that has copies.
+    The schema's comparators must give the same in both directions.
+    """
+    values = [f.name for f in schema.fields]
+    keyed = records.select("rec_id", *values, key.alias("__key"))
+    classes, members = golden.collapse(keyed, ["__key", *values], "rec_id")
+    classes, members = stored(classes.withColumnRenamed("rep_id", "rec_id"), "classes"), stored(members, "members")
+    pairs = blocking.pairs_by_key(classes.select("rec_id", F.col("__key").alias("key")), overflow="exact")
+    copies = classes.filter("n_rows > 1 AND __key IS NOT NULL").select(F.col("rec_id").alias("id_l"), F.col("rec_id").alias("id_r"))
+    decisions = stored(scoring.decide_fields(pairs.unionByName(copies), classes, schema), "decisions")
+    return clusters.constrained_copies(members, decisions)

@@ -13,7 +13,7 @@ from ..functions import comparators as cmp
 from ..functions import identifiers as ids
 from ..functions import text
 from ..operators import blocking, clusters, evaluation, golden, scoring
-from ..operators.tables import spread_join, stored
+from ..operators.tables import spread_join
 from ..sources import sinks
 from . import api
 
@@ -449,8 +449,7 @@ def lsh_pairs(spark, sf_dir):
 def schema_dedupe(spark, sf_dir):
     rows = parts(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("rec_id"), "p_size", "p_retailprice"), "rec_id")
     schema = scoring.Schema((scoring.FieldSpec("brand", "exact_signed", 1.0, veto=-0.5), scoring.FieldSpec("name", "token_set_signed", 2.0), scoring.FieldSpec("p_size", "number_relative", 0.5), scoring.FieldSpec("p_retailprice", "number_relative", 0.5)), 0.8, 2)
-    pairs = stored(blocking.pairs_by_key(rows.select("rec_id", F.concat_ws("/", "brand", "name").alias("key"))), "pairs")
-    return clusters.constrained(rows, scoring.decide_fields(pairs, rows, schema))
+    return api.dedupe_by_key(rows, F.concat_ws("/", "brand", "name"), schema)
 
 
 @query("linkage")

@@ -187,3 +187,22 @@ def test_blocking_quality_makes_no_pairs(spark, tmp_path):
     hits, true = (sum(k * (k - 1) // 2 for k in c.values()) for c in sizes)
     assert tuple(got) == (round(hits / true, 6), round(1 - 20_000 * 19_999 / (40_000 * 39_999 / 2), 6))
     assert time.monotonic() - start < 30
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_dedupe_by_key_against_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, rng.choice("kkl") if i % 17 else None, rng.choice(["ACME ANDINA", "ACME ANDINA SUR", None]), rng.choice(["red", "red", "blue", None]), rng.choice([1.0, 1.01, 1.03, 2.0, None])) for i in rng.sample(range(500), 120)]
+    records = spark.createDataFrame(rows, "rec_id bigint, k string, name string, kind string, v double")
+    schema = scoring.Schema((scoring.FieldSpec("name", "token_set_signed", 2.0), scoring.FieldSpec("kind", "exact_signed", 1.0, veto=-0.5), scoring.FieldSpec("v", "number_relative", 1.0)), 0.6, 2)
+    got = {r["rec_id"]: r["group"] for r in api.dedupe_by_key(records, F.col("k"), schema).collect()}
+    pairs = blocking.pairs_by_key(records.select("rec_id", F.col("k").alias("key")), None)
+    decisions = scoring.decide_fields(pairs, records, schema)
+    assert decisions.filter("veto").count() and got == {r["rec_id"]: r["group"] for r in clusters.constrained(records, decisions).collect()}
+
+
+def test_schema_dedupe_takes_copies_as_one(spark, tmp_path):
+    # a block of 6000 copies: 18 million pairs, and left out as too large before
+    spark.range(6_000).selectExpr("id AS p_partkey", "'red bolt' AS p_name", "'b' AS p_brand", "'t' AS p_type", "cast(id % 2 * 20 + 1 AS int) AS p_size", "1.0D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    got = catalog.schema_dedupe(spark, str(tmp_path)).groupBy("group").count().collect()
+    assert [tuple(r) for r in got] == [(0, 6_000)]
