@@ -119,22 +119,28 @@ def _learn(sample: DataFrame) -> dict:
     return {"sizes": sizes, "weights": weights, "base": base}
 
 
-def _held(values) -> Column:
+def _held(values, kind: str) -> Column:
     """An array literal of any length in one step: folded before the query runs."""
-    return F.split(F.lit(",".join("0" if not v else f"{v:.12g}" for v in values)), ",").cast("array<double>")
+    if not len(values):
+        return F.array().cast(f"array<{kind}>")
+    return F.split(F.lit(",".join("0" if not v else f"{v:.12g}" for v in values)), ",").cast(f"array<{kind}>")
 
 
 def _evidence(learned: dict) -> tuple[Column, dict[str, Column]]:
-    """The telling ones among the column terms, and what these, named telling, say for each domain against the first modelled one."""
+    """The telling ones among the column terms, and what these, named telling, say for each domain against the first modelled one.
+
+    Only terms with a weight stand in the literals: the driver writes a plan's literals out whenever the plan changes.
+    """
     weights = learned["weights"]
     if not weights:
         return F.lit(None).cast("array<int>"), {}
-    flags = _held(np.any([w != 0 for w in weights.values()], axis=0))
-    return F.array_distinct(F.filter("terms", lambda b: F.get(flags, b) > 0)), {d: _summed(_held(w), learned["base"][d]) for d, w in weights.items()}
+    named = np.flatnonzero(np.any([w != 0 for w in weights.values()], axis=0))
+    known = _held(named, "int")
+    return F.array_intersect("terms", known), {d: _summed(known, _held(w[named], "double"), learned["base"][d]) for d, w in weights.items()}
 
 
-def _summed(held: Column, base: float) -> Column:
-    return F.aggregate("telling", F.lit(base), lambda total, b: total + F.get(held, b))
+def _summed(known: Column, held: Column, base: float) -> Column:
+    return F.aggregate("telling", F.lit(base), lambda total, b: total + F.get(held, F.array_position(known, b).cast("int") - 1))
 
 
 def _softmax(used: list[str], counts: dict, evidence: dict[str, Column]) -> dict[str, Column]:

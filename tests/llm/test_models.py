@@ -393,3 +393,19 @@ def test_lean_gives_back_at_the_end_of_a_task(monkeypatch):
     said = []
     monkeypatch.setattr(common, "give_back", lambda: said.append("back"))
     assert list(common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3] and said == ["back"]
+
+
+def test_stored_steps_give_the_driver_s_memory_back(spark, tmp_path, monkeypatch):
+    assert "Trim native heap" in common.tidy_driver(spark)
+    said = []
+    monkeypatch.setattr(common, "tidy_driver", said.append)
+    assert common.stored(spark.range(3), f"file://{tmp_path}/rows").count() == 3 and said == [spark]
+
+
+def test_plans_of_mixing_hold_the_weights_of_telling_terms_only(spark):
+    docs, labels = mixed_corpus(spark, {"plain": 400, "poor": 40, "toxic": 40})
+    model = mixing.fit(docs, labels, mixing.work_dir(spark, "plan"))
+    found = mixing.membership(docs, model)
+    assert len(found._jdf.queryExecution().toString()) < 300_000
+    rows = found.join(docs.select("doc_id", "domain"), "doc_id").collect()
+    assert np.mean([r["p_" + r["domain"]] > 0.5 for r in rows]) > 0.95
