@@ -128,4 +128,17 @@ ORACLES = {
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, CAST(count(*) AS BIGINT) AS group_size FROM d GROUP BY text_sha256)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
         FROM d JOIN g USING (text_sha256)""",
+    "op11_fim": """
+        WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h FROM documents),
+        u AS (SELECT rid, h, regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units FROM t),
+        k AS (SELECT rid, h, len(units) AS n, unnest(units) AS unit, unnest(range(1, len(units) + 1)) AS i FROM u),
+        c AS (SELECT rid, max(n) AS n, list_sort([('0x' || h[1:8])::BIGINT % (max(n) + 1), ('0x' || h[9:16])::BIGINT % (max(n) + 1)]) AS cut FROM k GROUP BY rid, h),
+        p AS (SELECT rid, coalesce(string_agg(unit, '' ORDER BY i) FILTER (i <= cut[1]), '') AS a, coalesce(string_agg(unit, '' ORDER BY i) FILTER (i > cut[1] AND i <= cut[2]), '') AS b,
+            coalesce(string_agg(unit, '' ORDER BY i) FILTER (i > cut[2]), '') AS c FROM k JOIN c USING (rid) GROUP BY rid),
+        f AS (SELECT doc_id, text, a, b, p.c AS z, coalesce(c.n, 0) AS n,
+            CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM t LEFT JOIN c USING (rid) LEFT JOIN p USING (rid))
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', a, '<S>', z, '<M>', b) ELSE concat('<S>', z, '<P>', a, '<M>', b) END) AS output_sha256, sha256(text) AS restored_sha256
+        FROM f""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, license_scan, mixing, mpegts, ngram_join, quality, shards, stream_dedup, url_rules
+from . import bpe, chat, fim, license_scan, mixing, mpegts, ngram_join, quality, shards, stream_dedup, url_rules
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -64,6 +64,10 @@ def op10_exact_dedup(spark, sf_dir):
     return stream_dedup.decide(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_fim(spark, sf_dir):
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
@@ -75,4 +79,5 @@ QUERIES = {
     "op8_mpegts": op8_mpegts,
     "op9_shards": op9_shards,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_fim": op11_fim,
 }
