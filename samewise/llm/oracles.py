@@ -62,6 +62,31 @@ def _url_rules() -> str:
         SELECT page_id, host, path, rule, coalesce(named.verdict, best.verdict, 'allow') AS verdict FROM t LEFT JOIN named USING (rid) LEFT JOIN best USING (rid)"""
 
 
+def _merkle() -> str:
+    """Trees of all groups by one recursion upwards, proofs and folds by another one along the parents."""
+    field = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+    up = "SELECT {0}level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY pos)) FROM {1} WHERE n > 1 GROUP BY {0}level, pos // 8, n"
+    runs = "SELECT {0}level, pos // 8 AS up, list(hash ORDER BY pos) AS run FROM {1} WHERE n > 1 GROUP BY {0}level, pos // 8"
+    step = "level + 1 AS level, c.pos // 8 AS pos, (n + 7) // 8 AS n, sha256(array_to_string(run[1 : c.pos % 8] || [folded] || run[c.pos % 8 + 2 :], '')) AS folded, proof || array_to_string(run[1 : c.pos % 8] || run[c.pos % 8 + 2 :], '') AS proof"
+    return f"""
+        WITH RECURSIVE crc_table AS ({_CRC_TABLE}),
+        d AS (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN {_CRC.format('CAST(doc_id AS VARCHAR)')} % 3 = 0
+            THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {leaf('text')} END AS shown FROM documents, crc_table),
+        l AS (SELECT *, dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+        tree(g, level, pos, n, hash) AS (SELECT g, 0, pos, n, leaf FROM l UNION ALL {up.format('g, ', 'tree')}),
+        subroots AS (SELECT g, hash FROM tree WHERE n = 1),
+        top(level, pos, n, hash) AS (SELECT 0, g, count(*) OVER (), hash FROM subroots UNION ALL {up.format('', 'top')}),
+        runs AS ({runs.format('g, ', 'tree')}), top_runs AS ({runs.format('', 'top')}),
+        climb(g, leaf_pos, level, pos, n, folded, proof) AS (SELECT g, pos, 0, pos, n, shown, '' FROM l
+            UNION ALL SELECT c.g, leaf_pos, {step.replace('level + 1', 'c.level + 1')} FROM climb c JOIN runs r ON c.n > 1 AND r.g = c.g AND r.level = c.level AND r.up = c.pos // 8),
+        ascend(g, leaf_pos, level, pos, n, folded, proof) AS (SELECT g, leaf_pos, 0, g, (SELECT count(*) FROM subroots), folded, proof FROM climb WHERE n = 1
+            UNION ALL SELECT c.g, leaf_pos, {step.replace('level + 1', 'c.level + 1')} FROM ascend c JOIN top_runs r ON c.n > 1 AND r.level = c.level AND r.up = c.pos // 8),
+        root AS (SELECT hash AS root FROM top WHERE n = 1)
+        SELECT doc_id, leaf, s.hash AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+        FROM l JOIN subroots s USING (g) JOIN ascend a ON a.g = l.g AND a.leaf_pos = l.pos AND a.n = 1, root"""
+
+
 ORACLES = {
     "op4_ngram_join": f"""
         WITH RECURSIVE t AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents),
@@ -141,4 +166,5 @@ ORACLES = {
         SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars,
             sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', a, '<S>', z, '<M>', b) ELSE concat('<S>', z, '<P>', a, '<M>', b) END) AS output_sha256, sha256(text) AS restored_sha256
         FROM f""",
+    "op13_merkle": _merkle(),
 }

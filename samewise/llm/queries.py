@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fim, license_scan, mixing, mpegts, ngram_join, quality, shards, stream_dedup, url_rules
+from . import bpe, chat, fim, license_scan, merkle, mixing, mpegts, ngram_join, quality, shards, stream_dedup, url_rules
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -68,6 +68,11 @@ def op11_fim(spark, sf_dir):
     return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
 
 
+def op13_merkle(spark, sf_dir):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.audit(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
@@ -80,4 +85,5 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_fim": op11_fim,
+    "op13_merkle": op13_merkle,
 }

@@ -5,7 +5,9 @@ import re
 
 import pytest
 
-from samewise.llm import fim
+from pyspark.sql import functions as F
+
+from samewise.llm import fim, merkle
 
 WORDS = [" ", "\n\t", "One two", "  lead", "trail \n", "é É ß 漢字", "a<P>b c", "<M>", "<S", "x" * 3000, "a\0b c", " wide space", "😀 😀", "a\x85b\x1cc d"]
 TEXTS = ["", None, *WORDS, *[" ".join(WORDS[:i] * 7) for i in (3, 5, 6)], *[f"word{i} " * i for i in range(1, 60)]]
@@ -63,3 +65,66 @@ def test_fim_empty_and_long(spark):
     n, form, a, b, out = cut(3, long, rate=100)
     assert (got[3]["n"], got[3]["form"], got[3]["prefix_chars"], got[3]["middle_chars"]) == (n, form, a, b) and n == 1_200_001
     assert got[3]["output_sha256"] == hashlib.sha256(out.encode()).hexdigest() and got[3]["restored_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def climb(hashes):
+    """The last node, and for each leaf its (place, siblings) from below."""
+    paths, level, where = [[] for _ in hashes], list(hashes), list(range(len(hashes)))
+    while len(level) > 1:
+        runs = [level[i : i + 8] for i in range(0, len(level), 8)]
+        for path, w in zip(paths, where):
+            run = runs[w // 8]
+            path.append((w % 8, run[: w % 8] + run[w % 8 + 1 :]))
+        level, where = [sha("".join(run)) for run in runs], [w // 8 for w in where]
+    return level[0], paths
+
+
+def fold(leaf, path):
+    for at, siblings in path:
+        leaf = sha("".join(siblings[:at]) + leaf + "".join(siblings[at:]))
+    return leaf
+
+
+def manifest(rows):
+    """rows (doc_id, source, lang, n_chars, text) -> (doc_id, leaf, subroot, root, proof digest), sorted."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((r[0] is not None, r[0] or 0, sha("".join(map(field, r)))))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    low = {g: climb([leaf for *_, leaf in sorted(groups[g])]) for g in order}
+    root, tops = climb([low[g][0] for g in order])
+    found = []
+    for g, top in zip(order, tops):
+        for (named, doc_id, leaf), path in zip(sorted(groups[g]), low[g][1]):
+            assert fold(leaf, path + top) == root
+            found.append((doc_id if named else None, leaf, low[g][0], root, sha("".join("".join(s) for _, s in path + top))))
+    return sorted(found, key=str)
+
+
+def test_merkle_against_brute_force(spark):
+    rows = [(i * 3 % 601, "s%d" % (i % 3), "en", i, f"Text {i} é") for i in range(601)] + [(i, None, f"l{i:02d}", None, None) for i in range(11)]
+    rows += [(i, "x", None, 2, "No Language") for i in range(9)] + [(None, None, "fr", None, "A"), (None, None, "fr", None, "B"), (5, "s", "fr", 1, "same"), (5, "s", "fr", 1, "same"), (5, "s", "fr", 1, "other"), (2**40, "", "", -3, "")]
+    df = spark.createDataFrame([(*r, "n") for r in rows], "doc_id bigint, source string, lang string, n_chars bigint, text string, hash string").repartition(5)
+    got = merkle.audit(df, F.col("doc_id") % 2 == 0).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=str) == manifest(rows)
+    texts = {r[0]: r[4] for r in rows if r[2] == "en"}
+    changed = {r["doc_id"] for r in got if not r["verified"]}
+    assert {d for d in texts if d % 2 == 0} <= changed and not any(r["verified"] is False and (r["doc_id"] is None or r["doc_id"] % 2) for r in got)
+    assert all((r["folded_root"] == r["root"]) == r["verified"] for r in got)
+    assert [r["verified"] for r in got if r["doc_id"] == 2**40] == [True]  # nothing to lower-case
+
+
+def test_merkle_proofs_and_small_tables(spark):
+    kinds = "doc_id bigint, source string, lang string, n_chars bigint, text string"
+    assert merkle.manifest(spark.createDataFrame([], kinds)).count() == 0
+    one = merkle.manifest(spark.createDataFrame([(1, "s", "en", 1, "t")], kinds)).collect()[0]
+    assert one["leaf"] == one["subroot"] == one["root"] and one["proof"] == []
+    many = merkle.manifest(spark.createDataFrame([(i, "s", "en", 1, "t" * i) for i in range(70)], kinds)).collect()
+    for r in many:
+        assert fold(r["leaf"], [(s["at"], s["siblings"]) for s in r["proof"]]) == r["root"]
+    assert sorted(len(r["proof"][0]["siblings"]) for r in many) == [5] * 6 + [7] * 64 and {len(r["proof"]) for r in many} == {3}
