@@ -62,6 +62,27 @@ def _url_rules() -> str:
         SELECT page_id, host, path, rule, coalesce(named.verdict, best.verdict, 'allow') AS verdict FROM t LEFT JOIN named USING (rid) LEFT JOIN best USING (rid)"""
 
 
+def _lm() -> str:
+    """Counts of words and word pairs by grouping, scores by the formula of the smoothed pairs."""
+    from .lm import ADDED, STRENGTH
+
+    return f"""
+        WITH crc_table AS ({_CRC_TABLE}),
+        t AS (SELECT row_number() OVER () AS rid, doc_id, {_CRC.format("coalesce(CAST(doc_id AS VARCHAR), '')")} % 10 = 0 AS held_out,
+            list_append(list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''), NULL) AS words FROM documents, crc_table),
+        -- the end token is the null word; so is the begin mark, told apart by its place
+        k AS (SELECT rid, held_out, unnest(words) AS w, unnest(range(len(words))) AS i, unnest(list_prepend(NULL, words[:-2])) AS h FROM t),
+        one AS (SELECT w, count(*) AS c FROM k WHERE NOT held_out GROUP BY w),
+        whole AS (SELECT sum(c) AS n, count(*) AS v, sum(c) + {ADDED} * (count(*) + 1) AS total FROM one),
+        two AS (SELECT i = 0 AS opens, h, w, count(*) AS c FROM k WHERE NOT held_out GROUP BY ALL),
+        past AS (SELECT opens, h, sum(c) AS c FROM two GROUP BY ALL),
+        scored AS (SELECT rid, coalesce(one.c, 0) AS c1, (coalesce(one.c, 0) + {ADDED}) / total AS p1, (coalesce(two.c, 0) + {STRENGTH} * p1) / (coalesce(past.c, 0) + {STRENGTH}) AS p2
+            FROM k CROSS JOIN whole LEFT JOIN one ON one.w IS NOT DISTINCT FROM k.w LEFT JOIN two ON two.opens = (k.i = 0) AND two.h IS NOT DISTINCT FROM k.h AND two.w IS NOT DISTINCT FROM k.w
+            LEFT JOIN past ON past.opens = (k.i = 0) AND past.h IS NOT DISTINCT FROM k.h),
+        s AS (SELECT rid, count(*) AS n_tokens, count(*) FILTER (c1 > 0) AS n_known, round(sum(log10(p1)), 6) AS base_score, round(sum(log10(p2)), 6) AS score FROM scored GROUP BY rid)
+        SELECT doc_id, held_out, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(n_known AS BIGINT) AS n_known, CAST(coalesce(n, 0) AS BIGINT) AS train_tokens, base_score, score FROM t JOIN s USING (rid), whole"""
+
+
 def _merkle() -> str:
     """Trees of all groups by one recursion upwards, proofs and folds by another one along the parents."""
     field = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
@@ -166,5 +187,6 @@ ORACLES = {
         SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars,
             sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', a, '<S>', z, '<M>', b) ELSE concat('<S>', z, '<P>', a, '<M>', b) END) AS output_sha256, sha256(text) AS restored_sha256
         FROM f""",
+    "op12_lm": _lm(),
     "op13_merkle": _merkle(),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fim, license_scan, merkle, mixing, mpegts, ngram_join, quality, shards, stream_dedup, url_rules
+from . import bpe, chat, fim, license_scan, lm, merkle, mixing, mpegts, ngram_join, quality, shards, stream_dedup, url_rules
 from .common import table
 from .oracles import ORACLES  # noqa: F401
 
@@ -68,6 +68,12 @@ def op11_fim(spark, sf_dir):
     return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
 
 
+def op12_lm(spark, sf_dir):
+    scored = lm.score_documents(table(spark, sf_dir, "documents"))
+    # sums of doubles differ in their last digits with the order of adding
+    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+
+
 def op13_merkle(spark, sf_dir):
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     return merkle.audit(table(spark, sf_dir, "documents"), tampered)
@@ -85,5 +91,6 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_fim": op11_fim,
+    "op12_lm": op12_lm,
     "op13_merkle": op13_merkle,
 }

@@ -1,13 +1,19 @@
 """Fill-in-middle, language-model scoring and Merkle manifests against brute force."""
 
 import hashlib
+import math
+import random
 import re
+import zlib
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
-from samewise.llm import fim, merkle
+from samewise.llm import fim, lm, merkle
 
 WORDS = [" ", "\n\t", "One two", "  lead", "trail \n", "é É ß 漢字", "a<P>b c", "<M>", "<S", "x" * 3000, "a\0b c", " wide space", "😀 😀", "a\x85b\x1cc d"]
 TEXTS = ["", None, *WORDS, *[" ".join(WORDS[:i] * 7) for i in (3, 5, 6)], *[f"word{i} " * i for i in range(1, 60)]]
@@ -128,3 +134,100 @@ def test_merkle_proofs_and_small_tables(spark):
     for r in many:
         assert fold(r["leaf"], [(s["at"], s["siblings"]) for s in r["proof"]]) == r["root"]
     assert sorted(len(r["proof"][0]["siblings"]) for r in many) == [5] * 6 + [7] * 64 and {len(r["proof"]) for r in many} == {3}
+
+
+def tokens(text):
+    return [*re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower()), None]
+
+
+def language_model(rows, order, strength):
+    """rows (doc_id, text) -> (doc_id, held out, tokens, known, N, base, score), by counting n-grams in dictionaries."""
+    held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0
+    grams = Counter()
+    for d, text in rows:
+        if not held(d):
+            w = ["begin", *tokens(text)]
+            grams.update(tuple(w[max(0, i - k) : i + 1]) for i in range(len(w)) for k in range(order) if i >= k)
+    n, v = (f(c for g, c in grams.items() if len(g) == 1 and g != ("begin",)) for f in (sum, lambda x: len(list(x))))
+
+    def p(history, w):
+        if not history:
+            return (grams[w,] + 0.1) / (n + 0.1 * (v + 1))
+        return (grams[*history, w] + strength * p(history[1:], w)) / (grams[history] + strength)
+
+    found = []
+    for d, text in rows:
+        w = ["begin", *tokens(text)]
+        logs = [(math.log10(p((), w[i])), math.log10(p(tuple(w[max(0, i - order + 1) : i]), w[i]))) for i in range(1, len(w))]
+        found.append((d, held(d), len(logs), sum(grams[x,] > 0 for x in w[1:]), n, round(sum(a for a, _ in logs), 5), round(sum(b for _, b in logs), 5)))
+    return sorted(found, key=str)
+
+
+def prose(seed, size=150):
+    rng = random.Random(seed)
+    words = ["the", "The", "of", "é", "naïve", *[f"w{i}" for i in range(60)]]
+    texts = [rng.choice([" ", "\n", "\t "]).join(rng.choices(words, k=rng.choice([1, 5, 30, 64, 65, 130]))) for _ in range(size)]
+    rows = [(i, t) for i, t in enumerate(texts + ["", None, "  ", "unheard words only", texts[0]])]
+    return rows + [(None, "no id"), (3, texts[3]), (3, texts[3]), (-5, texts[4].upper())]
+
+
+@pytest.mark.parametrize("order,strength", [(1, 20.0), (2, 20.0), (3, 4.0)])
+def test_lm_against_brute_force(spark, order, strength):
+    rows = prose(order)
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, block int").repartition(4)
+    model = lm.fit(df, order, strength)
+    model = lm.Model(model.n, model.v, 5, 3, order, strength)  # several blocks and buckets
+    got = [(r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5), round(r["score"], 5)) for r in lm.score_documents(df, model).collect()]
+    want = language_model(rows, order, strength)
+    assert len(got) == len(want)
+    for a, b in zip(sorted(got, key=str), want):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=2e-5)
+
+
+def test_lm_long_texts_in_pieces(spark):
+    rng = random.Random(9)
+    long = " ".join(rng.choices([f"word{i}" for i in range(500)], k=200_000))
+    rows = [(1, long), (2, long[:300_000] + "x" * 700_000 + long[300_000:900_000]), (3, "word1 word2"), (11, long[:1000])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for order in (2, 3):
+        model = lm.fit(df, order, 20.0)
+        assert lm.pieces(df, model).count() > 8
+        got = {r["doc_id"]: (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in lm.score_documents(df, model).collect()}
+        for d, _, *rest in language_model(rows, order, 20.0):
+            assert got[d] == pytest.approx(tuple(rest), rel=1e-9, abs=1e-5)
+
+
+def test_lm_automaton_is_a_distribution():
+    rows = [t for _, t in prose(4) if t]
+    each = lambda v, kind: pa.array([v] * len(rows), kind)
+    table = pa.table({"block": each(0, pa.int32()), "held_out": each(False, pa.bool_()), "piece": each(0, pa.int32()), "last": each(True, pa.bool_()), "lead": each("", pa.string()), "text": pa.array(rows)})
+    block = lm.Block(table, 3)
+    totals = [c.astype(float) for _, c in block.own(np.zeros(len(rows), dtype=bool))]
+    words = block.word[block.counted]
+    n, v = len(words), len(set(words.tolist()))
+    automaton = lm.Automaton(block, totals, n, v, 20.0)
+    vocabulary = np.unique(automaton.word[block.counted])
+    followed = automaton.targets[(automaton.codes & np.uint64(0xFFFFFFFF)) != automaton.word[-1]]  # nothing follows the end token
+    for state in [0, *np.unique(followed)[::40]]:
+        s, log = state, automaton.unknown  # an unknown word goes by failure arcs to the root
+        while s:
+            log, s = log + automaton.back[s], automaton.fail[s]
+        total = 10**log
+        for w in vocabulary:
+            s, log = state, 0.0
+            while True:
+                code = np.uint64(s) << np.uint64(32) | w
+                at = np.searchsorted(automaton.codes, code)
+                if at < len(automaton.codes) and automaton.codes[at] == code:
+                    total += 10 ** (log + automaton.weights[at])
+                    break
+                assert s, "every training word has an arc at the root"
+                log, s = log + automaton.back[s], automaton.fail[s]
+        assert total == pytest.approx(1.0, abs=1e-9)
+
+
+def test_lm_empty(spark):
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert lm.score_documents(empty).count() == 0
+    none = [tuple(r) for r in lm.score_documents(spark.createDataFrame([(None, None)], "doc_id bigint, text string")).collect()]
+    assert none == [(None, True, 1, 0, 0, pytest.approx(0.0), pytest.approx(0.0))]  # nothing learned from
