@@ -281,9 +281,13 @@ def _classes(docs: DataFrame, size: int, num: int, den: int, home: str | None =
 
     for done in ("shared", "same", "leaders", "prefixes", "classed", "several", "open", "pairs-1", "pairs-2", "links-1", "links-2", "classes-1"):
         remove(spark, f"{home}/{done}")
-    named = rows.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").select("doc_id", "row_key", "n", F.coalesce("root", "digest").alias("class"))
-    smallest = named.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return named.join(smallest, "class", "left").select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "class")
+    # counted by set, then by class; a set or a class that many rows share is broadcast, so no task gets its rows
+    each = rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("c"))
+    each = stored(each.join(roots.toDF("digest", "root"), "digest", "left").withColumn("class", F.coalesce("root", "digest")).drop("root"), f"{home}/each")
+    smallest = stored(each.groupBy("class").agg(F.min("own").alias("least"), F.count(F.lit(1)).alias("m")), f"{home}/smallest")
+    told = stored(spread_join(each, smallest, "class", "m").select("digest", "class", "least", "c"), f"{home}/told")
+    named = spread_join(rows.filter("n > 0"), told, "digest", "c").select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), "class")
+    return named.unionByName(rows.filter("n = 0").select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("digest").alias("class")))
 
 
 def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, home: str | None = None) -> DataFrame:
@@ -292,14 +296,13 @@ def jaccard_classes(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 
 
 def near_dedup(spark, docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs that stay: of each class the row with the smallest doc_id (nulls last, then row_key); rows without words stay.
+    """The rows of docs that stay: of each class of linked sets the row with the smallest doc_id (nulls last, then row_key); rows without words stay.
 
-    Classes whose rows have no doc_id at all are told apart by their sets.
+    Texts that no links connect stay apart, also where their rows have one doc_id or none.
     """
     doc_id, home = F.col("doc_id").cast("long"), work_dir(spark, "near-dedup")
     classes = stored(_classes(docs, size, num, den), f"{home}/classes")
-    nameless = F.when(F.col("component_id").isNull(), F.col("class"))
-    drop = classes.filter("n_shingles > 0").groupBy("component_id", nameless.alias("nameless")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("k"))
+    drop = classes.filter("n_shingles > 0").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("k"))
     alone = classes.filter("n_shingles = 0").select("doc_id", "row_key")
     keep = stored(drop.select("k.doc_id", "k.row_key").unionAll(alone).distinct().toDF("__id", "__key"), f"{home}/keep")
     # rows whose key is kept and stands for one row only need no trial and do not move

@@ -7,7 +7,7 @@ import pytest
 from samewise.llm import ngram_join
 
 
-def brute(rows, size, num, den):
+def brute(rows, size, num, den, classes=False):
     sets = []
     for _, t in rows:
         w = (t or "").encode().lower().split()
@@ -28,7 +28,7 @@ def brute(rows, size, num, den):
     for i, (d, _) in enumerate(rows):
         if d is not None:
             least[find(i)] = min(least.get(find(i), d), d)
-    return sorted(((d, len(s), least.get(find(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
+    return sorted(((d, len(s), least.get(find(i)) if s else d, *([find(i)] if classes else [])) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
 
 
 def corpus(seed):
@@ -66,12 +66,18 @@ def test_near_dedup(spark):
     kept = ngram_join.near_dedup(spark, df)
     assert kept.columns == df.columns
     left = [(r["doc_id"], r["text"]) for r in kept.collect()]
-    whole = brute(rows, 5, 80, 100)
-    assert len([1 for d, t in left if (t or "").split()]) == len({c for d, n, c in whole if n})
-    again = [c for d, n, c in brute(left, 5, 80, 100) if n]
+    whole = brute(rows, 5, 80, 100, classes=True)
+    assert len([1 for d, t in left if (t or "").split()]) == len({c for d, n, _, c in whole if n})
+    again = [c for d, n, _, c in brute(left, 5, 80, 100, classes=True) if n]
     assert len(again) == len(set(again))
 
 
+def test_near_dedup_keeps_unlinked_texts_of_one_id(spark):
+    rows = [(3, "alpha beta gamma delta epsilon zeta"), (3, "one two three four five six"), (4, "q w e r t y u"), (4, "q w e r t y u"), (5, "Q W E R T Y U")]
+    kept = ngram_join.near_dedup(spark, spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, kept.collect())) == rows[:3]
+
+
 def test_empty(spark):
     assert ngram_join.jaccard_classes(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     assert ngram_join.near_dedup(spark, spark.createDataFrame([(1, None)], "doc_id bigint, text string")).count() == 1
