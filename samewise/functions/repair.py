@@ -13,8 +13,8 @@ from .identifiers import check_digit, let
 BROKEN_LETTERS = "ÑÓÉÍÚÁñóéíúá"
 #: Digits that scanned texts confuse with letters (fixed values).
 OCR_DIGITS, OCR_LETTERS = "012345678", "OIZEASGTB"
-#: Blocks of signs that reports do not print (fixed values).
-SIGN_BLOCKS = ("2190-21FF", "2300-23FF", "2460-24FF", "25A0-25FF", "2600-26FF", "2700-27BF", "2B00-2BFF", "FE00-FE0F", "1F000-1F02F", "1F0A0-1F0FF", "1F100-1F1FF", "1F200-1F2FF", "1F300-1F5FF", "1F600-1F64F", "1F650-1F67F", "1F680-1F6FF", "1F700-1F77F", "1F780-1F7FF", "1F800-1F8FF", "1F900-1F9FF", "1FA00-1FA6F")
+#: Signs that reports do not print, from arrows to the last block of pictographs (fixed values).
+SIGNS = r"[\x{2190}-\x{21FF}\x{2300}-\x{23FF}\x{2460}-\x{24FF}\x{25A0}-\x{25FF}\x{2600}-\x{26FF}\x{2700}-\x{27BF}\x{2B00}-\x{2BFF}\x{FE00}-\x{FE0F}\x{1F000}-\x{1F02F}\x{1F0A0}-\x{1F0FF}\x{1F100}-\x{1F1FF}\x{1F200}-\x{1F2FF}\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F650}-\x{1F67F}\x{1F680}-\x{1F6FF}\x{1F700}-\x{1F77F}\x{1F780}-\x{1F7FF}\x{1F800}-\x{1F8FF}\x{1F900}-\x{1F9FF}\x{1FA00}-\x{1FA6F}\x{1FA70}-\x{1FAFF}]+"
 
 
 def broken(letter: str) -> str:
@@ -47,8 +47,7 @@ def consonant_keys(c: Column) -> Column:
 
 def strip_signs(c: Column) -> Column:
     """Without emoji and other signs, white space squeezed."""
-    blocks = "".join("\\x{%s}-\\x{%s}" % tuple(b.split("-")) for b in SIGN_BLOCKS)
-    return F.trim(F.regexp_replace(F.regexp_replace(c, f"[{blocks}]", ""), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, SIGNS, ""), r"\s+", " "))
 
 
 def fix_nit(c: Column) -> Column:

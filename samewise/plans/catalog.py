@@ -113,14 +113,15 @@ def text_fold(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.ascii_upper(F.col("text")), 256).alias("folded"))
 
 
-@query("phonetic_key", """WITH k AS (SELECT p_partkey, regexp_replace(upper(p_name), '[^A-Z ]', '', 'g') AS a FROM part),
-    b AS (SELECT p_partkey, replace(replace(a, 'PH', 'F'), 'QU', 'K') AS a FROM k),
-    c AS (SELECT p_partkey, regexp_replace(regexp_replace(regexp_replace(a, 'GU([EI])', 'G\\1', 'g'), 'G([EI])', 'J\\1', 'g'), 'C([EI])', 'S\\1', 'g') AS a FROM b),
-    d AS (SELECT p_partkey, replace(replace(replace(a, 'CH', '1'), 'H', ''), 'C', 'K') AS a FROM c),
-    e AS (SELECT p_partkey, replace(replace(replace(replace(replace(replace(a, '1', 'CH'), 'V', 'B'), 'Z', 'S'), 'LL', 'Y'), 'W', 'GU'), 'X', 'KS') AS a FROM d)
-    SELECT p_partkey, list_reduce(['A','B','C','D','E','F','G','H','I','J','K','L','M','N','O','P','Q','R','S','T','U','V','W','X','Y','Z'], lambda t, l: regexp_replace(t, l || '+', l, 'g'), a) AS key FROM e""")
+@query("phonetic_key", """WITH a AS (SELECT p_partkey, regexp_replace(upper(p_name), '[^A-Z ]', '', 'g') || CASE p_partkey % 5 WHEN 0 THEN ' GUERRA' WHEN 1 THEN ' CHAVEZ' WHEN 2 THEN ' PHILIPS QUESO' WHEN 3 THEN ' WALLES' ELSE '' END AS k FROM part),
+    b AS (SELECT p_partkey, replace(replace(replace(k, 'H', ''), 'V', 'B'), 'Z', 'S') AS k FROM a),
+    c AS (SELECT p_partkey, replace(replace(regexp_replace(k, 'C([EI])', 'S\\1', 'g'), 'QU', 'K'), 'C', 'K') AS k FROM b),
+    d AS (SELECT p_partkey, regexp_replace(regexp_replace(k, 'G([EI])', 'J\\1', 'g'), 'GU([EI])', 'G\\1', 'g') AS k FROM c),
+    e AS (SELECT p_partkey, replace(replace(replace(k, 'LL', 'Y'), 'W', 'GU'), 'X', 'KS') AS k FROM d)
+    SELECT p_partkey, list_reduce(string_split('ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''), lambda t, l: regexp_replace(t, l || '+', l, 'g'), k) AS key FROM e""")
 def phonetic_key(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", text.phonetic_es(F.col("p_name")).alias("key"))
+    more = F.element_at(F.array(*map(F.lit, (" Guerra", " Chávez", " Philips queso", " Walles", ""))), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.phonetic_es(F.concat("p_name", more)).alias("key"))
 
 
 _DV = "(CASE WHEN s % 11 < 2 THEN s % 11 ELSE 11 - s % 11 END)"

@@ -52,7 +52,7 @@ def quote_artifacts(spark, sf_dir):
 def signature_repairs(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     keys = repair.consonant_keys(F.concat_ws(" ", F.upper("c_mktsegment"), "c_name"))
-    signs = F.concat(F.lit("✅ "), "c_name", F.lit(" \U0001f680️"))
+    signs = F.concat(F.lit("✅ "), "c_name", F.lit(" \U0001f680️\U0001fa80"))
     return c.select("c_custkey", repair.ocr_letters(F.col("c_name")).alias("ocr"), keys["consonants"].alias("consonants"), keys["initials"].alias("initials"), repair.strip_signs(signs).alias("plain"))
 
 
