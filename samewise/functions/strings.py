@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
@@ -28,7 +29,7 @@ def jaro(a: str, b: str) -> float:
     m = len(hits_a)
     if not m:
         return 0.0
-    swaps = sum(x != b[j] for x, j in zip(hits_a, sorted(matched_b))) / 2
+    swaps = sum(x != b[j] for x, j in zip(hits_a, sorted(matched_b))) // 2  # pairs of letters out of order
     return (m / len(a) + m / len(b) + (m - swaps) / m) / 3
 
 
@@ -118,9 +119,63 @@ def _pairwise(kernel: Callable, a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([known[p] for p in pairs], dtype="float64")
 
 
+#: Pairs that the batched kernel lays out at once, and letters beyond which pairs go one by one.
+ROWS, LETTERS = 4096, 128
+
+
+def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts, one row each, and their lengths."""
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    width = max(1, int(lengths.max(initial=1)))
+    return np.array(texts, dtype=f"U{width}").view(np.uint32).reshape(len(texts), width), lengths
+
+
+def jaro_winkler_batch(a: list[str], b: list[str], weight: float = 0.1) -> np.ndarray:
+    """jaro_winkler() of many pairs: each step takes one letter of all left texts and finds its partner in all right ones."""
+    out = np.zeros(len(a))
+    size = np.fromiter((max(len(x), len(y)) for x, y in zip(a, b)), dtype=np.int64, count=len(a))
+    ended = np.fromiter((x[-1:] == "\0" or y[-1:] == "\0" for x, y in zip(a, b)), dtype=bool, count=len(a))
+    single = (size > LETTERS) | ended  # NumPy's texts end where NULs begin
+    for i in np.flatnonzero(single):
+        out[i] = jaro_winkler(a[i], b[i], weight)
+    order = np.flatnonzero(~single)
+    order = order[np.argsort(size[order], kind="stable")]  # rows of like width
+    for lo in range(0, len(order), ROWS):
+        part = order[lo : lo + ROWS]
+        (x, la), (y, lb) = _letters([a[i] for i in part]), _letters([b[i] for i in part])
+        reach = np.maximum(0, np.maximum(la, lb) // 2 - 1)
+        place, rows = np.arange(y.shape[1]), np.arange(len(part))
+        free = place < lb[:, None]
+        hit, taken = np.zeros(x.shape, dtype=bool), np.zeros(y.shape, dtype=bool)
+        for i in range(x.shape[1]):
+            near = free & (y == x[:, i : i + 1]) & (np.abs(place - i) <= reach[:, None]) & (i < la)[:, None]
+            found = near.any(axis=1)
+            at = near.argmax(axis=1)
+            hit[:, i] = found
+            free[rows[found], at[found]] = False
+            taken[rows[found], at[found]] = True
+        m = hit.sum(axis=1)
+        # the matched letters of both sides in their order, side by side
+        left, right = np.argsort(~hit, axis=1, kind="stable"), np.argsort(~taken, axis=1, kind="stable")
+        width = int(m.max(initial=0))
+        unlike = (np.take_along_axis(x, left[:, :width], 1) != np.take_along_axis(y, right[:, :width], 1)) & (np.arange(width) < m[:, None])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            s = np.where(m > 0, (m / la + m / lb + (m - unlike.sum(axis=1) // 2) / m) / 3, 0.0)
+        both = min(4, x.shape[1], y.shape[1])
+        alike = (x[:, :both] == y[:, :both]) & (np.arange(both) < np.minimum(la, lb)[:, None])
+        prefix = np.logical_and.accumulate(alike, axis=1).sum(axis=1)
+        s = np.where(s > 0.7, s + prefix * weight * (1 - s), s)
+        equal = np.fromiter((a[i] == b[i] for i in part), dtype=bool, count=len(part))
+        out[part] = np.where(equal, (la > 0).astype(float), s)
+    return out
+
+
 @pandas_udf(DoubleType())
 def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return _pairwise(jaro_winkler, a, b)
+    pairs = list(zip(a.fillna(""), b.fillna("")))
+    distinct = [p for p in dict.fromkeys(pairs) if p[0] and p[1]]
+    known = dict(zip(distinct, jaro_winkler_batch([p[0] for p in distinct], [p[1] for p in distinct]).tolist()))
+    return pd.Series([known.get(p, 0.0) for p in pairs], dtype="float64")
 
 
 @pandas_udf(DoubleType())

@@ -172,14 +172,14 @@ def restricted_components(records: DataFrame, unions: DataFrame, vetoes: DataFra
     """Groups from unions in order, those decided by a person first; a union that a veto or a second legal form forbids is refused.
 
     records: (rec_id, form, '' unknown); unions: (number, id_l, id_r, human); vetoes: (id_l, id_r). Returns (rec_id, group) and
-    (number, accepted, reason); each settles the components anew when it is read, so that the verdicts of all unions need not be
+    (number, id_l, id_r, human, accepted, reason); each settles the components anew when it is read, so that the verdicts of all unions need not be
     stored for the groups. What may end up together is one component of all unions; the order makes each
     component one task's work, so components are to be those of blocked candidates, not of a whole table.
     """
     loose = stored(components(records, thinned(unions)), "loose")
     place = loose.toDF("id_l", "component")
     of = F.col("component")
-    work = unions.join(place, "id_l").select("component", F.col("number").cast("long").alias("number"), "id_l", "id_r", F.coalesce("human", F.lit(False)).alias("human"))
+    work = unions.join(place, "id_l").select("component", F.col("number").cast("long").alias("number"), F.col("id_l").cast("long").alias("id_l"), F.col("id_r").cast("long").alias("id_r"), F.coalesce("human", F.lit(False)).alias("human"))
     # a component without a union is a single record
     touched = stored(unions.select("id_l").distinct().join(place, "id_l").select("component").distinct(), "touched")
     member = loose.join(records, "rec_id").withColumnRenamed("group", "component")
@@ -195,9 +195,9 @@ def restricted_components(records: DataFrame, unions: DataFrame, vetoes: DataFra
     def verdicts_of(left: pa.Table, right: pa.Table) -> pa.Table:
         refused = _settle(left, right)[2]
         reasons = pa.array(["", "veto", "legal forms"]).take(pa.array(refused))
-        return pa.table({"number": left["number"], "accepted": pa.array(refused == 0), "reason": reasons})
+        return pa.table({**{c: left[c] for c in ("number", "id_l", "id_r", "human")}, "accepted": pa.array(refused == 0), "reason": reasons})
 
     both = lambda f, schema: work.groupBy("component").cogroup(side.groupBy("component")).applyInArrow(f, schema)
     settled = both(groups, "text_id string, group string")
     placed = records.select("rec_id").join(settled, F.col("rec_id").cast("string") == F.col("text_id"), "left")
-    return placed.select("rec_id", F.coalesce("group", F.col("rec_id").cast("string")).alias("group")), both(verdicts_of, "number long, accepted boolean, reason string")
+    return placed.select("rec_id", F.coalesce("group", F.col("rec_id").cast("string")).alias("group")), both(verdicts_of, "number long, id_l long, id_r long, human boolean, accepted boolean, reason string")

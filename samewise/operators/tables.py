@@ -26,15 +26,27 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Keys whose parts are broadcast at most; beyond, only those that hold one in so many of the dealt rows.
+DEALT_KEYS, DEALT_SHARE = 100_000, 1000
+
+
 def spread_join(left: DataFrame, right: DataFrame, on: list[str], rows: int = 2000, parted: bool = False) -> DataFrame:
     """The inner join on columns; right rows of a frequent key are dealt over parts of about so many rows, and left rows go to each part.
 
+    The parts of frequent keys are broadcast (DEALT_KEYS at most), so that neither side meets on the bare key before it is dealt.
     parted: as many tasks as there are shuffle partitions, also where both sides are small and only their pairs are many.
     """
-    parts = right.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("__parts"))
-    dealt = right.join(parts, on).withColumn("__part", F.pmod(F.xxhash64(*right.columns), F.col("__parts")).cast("int")).drop("__parts")
-    spread = left.join(parts, on).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
+    counted = right.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows)
+    big = stored(counted.select(*on, "__n", F.ceil(F.col("__n") / rows).cast("int").alias("__parts")), "big")
+    keys, held = big.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    if keys > DEALT_KEYS:
+        big = big.filter(F.col("__n") * DEALT_SHARE >= held)
+    part, spread, dealt = [], left, right
+    if keys:
+        part, parts = ["__part"], F.broadcast(big.drop("__n"))
+        dealt = right.join(parts, on, "left").withColumn("__part", F.pmod(F.xxhash64(*right.columns), F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+        spread = left.join(parts, on, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
     if parted:
         n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread, dealt = (side.repartition(n, *on, "__part") for side in (spread, dealt))
-    return spread.join(dealt.hint("shuffle_hash") if parted else dealt, [*on, "__part"]).drop("__part")
+        spread, dealt = (side.repartition(n, *on, *part) for side in (spread, dealt))
+    return spread.join(dealt.hint("shuffle_hash") if parted else dealt, [*on, *part]).drop("__part")
