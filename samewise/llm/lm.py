@@ -268,7 +268,8 @@ def vocabulary(docs: DataFrame, bits: int) -> tuple[int, int]:
         return pa.table({"n": pa.array([int(np.sum(table.column("tokens").to_numpy()))], pa.int64()), "v": pa.array([len(keys)], pa.int64())})
 
     sent = docs.filter(~held_out(F.col("doc_id").cast("long"))).select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(words), "bucket bigint, tokens bigint, keys binary")
-    n, v = sent.groupBy("bucket").applyInArrow(distinct, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (1 << bits) // 4)
+    n, v = sent.repartition(parts, "bucket").groupBy("bucket").applyInArrow(distinct, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
     return n or 0, v or 0
 
 
@@ -374,7 +375,7 @@ def score_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
     partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), model.blocks)
     dealt = pieces(docs, model).repartition(partitions, "block")
     asked = dealt.groupBy("block").applyInArrow(lambda t: requests(t, model), "bucket bigint, block int, k int, keys binary, own binary")
-    told = asked.groupBy("bucket").applyInArrow(answers, "block int, k int, bucket bigint, totals binary")
+    told = asked.repartition(partitions, "bucket").groupBy("bucket").applyInArrow(answers, "block int, k int, bucket bigint, totals binary")
     each = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda left, right: scored(left, right, model), PIECE_SCORES)
     # rows alike have alike pieces: the sums of all are those of one times their number
     rows = F.count(F.when(F.col("piece") == 0, 1))
