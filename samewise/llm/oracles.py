@@ -23,11 +23,13 @@ def _license_scan() -> str:
         templates AS (SELECT * FROM (VALUES {rows}) v(no, label, words, exact)),
         k AS (SELECT no, label, exact, len(words) - 2 AS n, i AS place, words[i + 1] AS a, words[i + 2] AS b, words[i + 3] AS c FROM templates, unnest(range(len(words) - 2)) u(i)),
         g AS (SELECT rid, i AS pos, words[i + 1] AS a, words[i + 2] AS b, words[i + 3] AS c FROM t, unnest(range(greatest(len(words) - 2, 0))) u(i)),
-        votes AS (SELECT rid, no, label, exact, n, pos - place AS diagonal, bit_or(CAST(1 AS BIGINT) << place) AS mask FROM g JOIN k USING (a, b, c) GROUP BY ALL),
-        steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, no ORDER BY diagonal) <= {SLACK} THEN 0 ELSE 1 END AS step FROM votes),
-        runs AS (SELECT *, sum(step) OVER (PARTITION BY rid, no ORDER BY diagonal) AS run, exact AND bit_count(mask) = n AS stands FROM steps),
-        spans AS (SELECT rid, label, exact, bit_count(bit_or(mask)) / n AS cover, count(*) FILTER (stands) AS places,
-            min(diagonal) FILTER (stands) AS low, max(diagonal) FILTER (stands) AS high FROM runs GROUP BY rid, no, label, exact, n, run),
+        votes AS (SELECT DISTINCT rid, no, label, exact, n, place, pos - place AS diagonal FROM g JOIN k USING (a, b, c)),
+        diagonals AS (SELECT rid, no, label, exact, n, diagonal, exact AND count(*) = n AS stands FROM votes GROUP BY rid, no, label, exact, n, diagonal),
+        steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, no ORDER BY diagonal) <= {SLACK} THEN 0 ELSE 1 END AS step FROM diagonals),
+        runs AS (SELECT *, sum(step) OVER (PARTITION BY rid, no ORDER BY diagonal) AS run FROM steps),
+        covers AS (SELECT rid, no, run, count(DISTINCT place) AS held FROM runs JOIN votes USING (rid, no, diagonal) GROUP BY ALL),
+        spans AS (SELECT rid, label, exact, any_value(held) / n AS cover, count(*) FILTER (stands) AS places,
+            min(diagonal) FILTER (stands) AS low, max(diagonal) FILTER (stands) AS high FROM runs JOIN covers USING (rid, no, run) GROUP BY rid, no, label, exact, n, run),
         f AS (SELECT rid, sum(places) AS n_base, min(low) AS low, max(high) AS high, max(cover) AS score,
             list_sort(list(DISTINCT label) FILTER (places > 0)) AS base, list_sort(list(DISTINCT label) FILTER (places > 0 OR NOT exact AND cover >= {MIN_COVER})) AS every
             FROM spans GROUP BY rid)
