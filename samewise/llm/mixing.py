@@ -12,16 +12,18 @@ projected gradient steps from r = 1. In that scaling a step of length 1 never ov
 from the last two gradients, and a step that does not lessen the loss is taken back. A step is one small vector, so the rate
 of a document follows from its posteriors and the list of steps; each iteration is one aggregation over
 the table of posteriors that brings a few numbers to the driver. The report names what is left of the
-residual. A domain that no document belongs to cannot be filled: its target is 0.
+residual and the domains that have no model; a fit that misses its targets, or lacks a domain, warns. A domain that no document belongs to cannot be filled: its target is 0.
 
 Defined results: null and empty texts have no tokens and the posteriors of their terms; null
-labels and labels of other documents are not learned from; a domain with fewer than LEAST_ROWS labelled rows has posterior 0, and without any
+labels and labels of other documents are not learned from, nor is a doc_id labelled for two domains; a domain with fewer than LEAST_ROWS labelled rows has posterior 0, and without any
 modelled domain all have the same; repeated rows are separate rows with equal rates; an empty table gives an
 empty result; further columns are not read, except that mix() returns them.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ DOMAINS = ("plain", "poor", "toxic")
 #: Shares of tokens aimed at; the first domain keeps its present tokens and so sets the budget.
 TARGETS = {"plain": 0.97, "poor": 0.015, "toxic": 0.015}
 SAMPLE_PER_DOMAIN, STEPS, TOLERANCE = 1500, 60, 1e-7
+#: A residual beyond which a fit warns.
+LOOSE = 1e-3
 #: Marks whose share of a text is a term; each costs a pass over it.
 MARKS = "|$%&*#!"
 #: Columns of hashed terms, standard errors and rows that make a term count, and what the evidence is divided by, as words are not independent.
@@ -53,6 +57,7 @@ def words_of(text: Column) -> Column:
 def _known(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, domain) of the labelled rows whose document is among docs."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain_of().alias("domain")).filter("doc_id IS NOT NULL AND domain IS NOT NULL")
+    known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"), F.max("domain").alias("other")).filter("domain = other").drop("other")
     return known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
 
 
@@ -62,7 +67,7 @@ def _chosen(known: DataFrame) -> DataFrame:
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionAll(part)
-    return whole.dropDuplicates(["doc_id"])
+    return whole
 
 
 def terms(text: Column, words: Column) -> Column:
@@ -250,7 +255,10 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     steps, report = fit_rates(table, targets)
     r = rate(steps, [F.col(f"p_{d}") for d in DOMAINS])
     found = table.withColumn("rate", r).withColumn("copies", (F.floor("rate") + (F.col("u") < F.col("rate") - F.floor("rate")).cast("int")).cast("long"))
-    return found, report | {"model": model, "steps": steps}
+    report |= {"model": model, "steps": steps, "unmodelled": [d for d in DOMAINS if d not in model["stats"]]}
+    if report["residual"] > LOOSE or report["unmodelled"]:
+        warnings.warn(f"targets missed by {report['residual']:.3g} of the tokens, domains without a model: {report['unmodelled']}", stacklevel=2)
+    return found, report
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:

@@ -23,7 +23,9 @@ def op1_chat_format(spark, sf_dir):
 
 
 def op2_mixing(spark, sf_dir):
-    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0].drop("row_key", "u")
+    found, report = mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    # what is left of the targets, as a share of all tokens, and the domains without a model stand beside every row
+    return found.drop("row_key", "u").withColumns({"residual": F.lit(float(report["residual"])), "unmodelled": F.lit(",".join(report["unmodelled"]))})
 
 
 def op3_bpe(spark, sf_dir):

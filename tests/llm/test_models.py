@@ -409,3 +409,39 @@ def test_plans_of_mixing_hold_the_weights_of_telling_terms_only(spark):
     assert len(found._jdf.queryExecution().toString()) < 300_000
     rows = found.join(docs.select("doc_id", "domain"), "doc_id").collect()
     assert np.mean([r["p_" + r["domain"]] > 0.5 for r in rows]) > 0.95
+
+
+def test_license_scan_of_whole_licenses(spark):
+    """Templates of any length: a whole text, with some words changed, is told by more K-grams than a long has bits."""
+    whole = max((t for t in license_scan.TEMPLATES), key=lambda t: len(t.words))
+    words = whole.words.split()
+    assert len(words) > 150
+    few = [w if i % 37 else "changed" for i, w in enumerate(words)]
+    exact = license_scan.Template("long", " ".join(f"word{i}" for i in range(500)), True)
+    rows = [(1, "Intro. " + " ".join(words).upper()), (2, " ".join(few)), (3, " ".join(words[:60])), (4, exact.words + " end " + exact.words), (5, exact.words.rsplit(" ", 1)[0])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan(df, (whole, exact)).collect()}
+    n = len(words) - 2
+    lost = {i - j for i in range(0, len(words), 37) for j in range(3)} & set(range(n))
+    assert got[1]["score"] == 1.0 and got[1]["labels"] == "mit" and got[1]["n_base"] == 0
+    assert got[2]["score"] == pytest.approx((n - len(lost)) / n) and got[2]["labels"] == "mit"
+    assert 0.3 < got[3]["score"] < 0.5 and got[3]["labels"] == ""
+    assert (got[4]["n_base"], got[4]["first_word"], got[4]["last_word"], got[4]["base_labels"]) == (2, 0, 501, "long") and got[5]["n_base"] == 0
+
+
+def test_rows_labelled_both_ways_teach_nothing(spark):
+    docs, labels = mixed_corpus(spark, {"plain": 300, "poor": 40})
+    other = labels.filter("doc_id % 2 = 0").withColumn("quality", 1 - F.col("quality"))
+    both = labels.unionByName(other).repartition(5)
+    known = {r["doc_id"]: r["domain"] for r in mixing._known(docs, both).collect()}
+    assert set(known) == {i for i in range(340) if i % 2} and known[301] == "poor"
+    once = quality.fit(docs, labels.filter("doc_id % 2 = 1"))
+    assert np.array_equal(quality.fit(docs, both).labels, once.labels) and np.array_equal(quality.fit(docs, both).vectors, once.vectors)
+    assert quality.fit(docs, labels.unionByName(labels.withColumn("quality", 1 - F.col("quality")))) is None
+
+
+def test_a_fit_without_a_domain_warns(spark):
+    docs, labels = mixed_corpus(spark, {"plain": 300, "poor": 40, "toxic": 5})
+    with pytest.warns(UserWarning, match="toxic"):
+        report = mixing.rates(docs, labels)[1]
+    assert report["unmodelled"] == ["toxic"]
