@@ -459,7 +459,7 @@ def linkage(spark, sf_dir):
     return api.linkage(spark, {"LEFT": p.filter("p_partkey % 2 = 0"), "RIGHT": p.filter("p_partkey % 2 = 1")}, "p_name", "nit", "p_partkey").correlative
 
 
-from . import catalog_linking, catalog_more, catalog_pairs  # noqa: E402
+from . import catalog_linking, catalog_more, catalog_pairs, catalog_refine  # noqa: E402
 
-QUERIES |= catalog_more.QUERIES | catalog_pairs.QUERIES | catalog_linking.QUERIES
-ORACLES |= catalog_more.ORACLES | catalog_pairs.ORACLES | catalog_linking.ORACLES
+QUERIES |= catalog_more.QUERIES | catalog_pairs.QUERIES | catalog_linking.QUERIES | catalog_refine.QUERIES
+ORACLES |= catalog_more.ORACLES | catalog_pairs.ORACLES | catalog_linking.ORACLES | catalog_refine.ORACLES
