@@ -77,13 +77,17 @@ def idf(token_rows: DataFrame, n_records: int) -> DataFrame:
     return token_rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", F.log((1 + F.lit(n_records)) / (1 + F.col("df"))) + 1)
 
 
-def distinctive_tokens(records: DataFrame, k: int = 2, max_block: int = 300, name: str = "name", least: int = 4) -> DataFrame:
-    """Pairs that share one of the k rarest tokens of each name."""
+def _chosen_tokens(records: DataFrame, k: int, max_block: int | None, name: str, least: int) -> DataFrame:
     rows = tokens(records, name, least)
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= max_block)
+    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    counts = counts.filter(F.col("df") <= max_block) if max_block else counts
     rank = F.row_number().over(Window.partitionBy("rec_id").orderBy("df", "token"))
-    chosen = rows.join(counts, "token").withColumn("rank", rank).filter(F.col("rank") <= k)
-    return pairs_by_key(chosen.select("rec_id", F.col("token").alias("key")), max_block)
+    return rows.join(counts, "token").withColumn("rank", rank).filter(F.col("rank") <= k).select("rec_id", F.col("token").alias("key"))
+
+
+def distinctive_tokens(records: DataFrame, k: int = 2, max_block: int | None = 300, name: str = "name", least: int = 4) -> DataFrame:
+    """Pairs that share one of the k rarest tokens of each name; tokens of more than max_block records are left out (None: none are)."""
+    return pairs_by_key(_chosen_tokens(records, k, max_block, name, least), max_block)
 
 
 def rare_tokens(records: DataFrame, max_block: int = 50, name: str = "name") -> DataFrame:
@@ -98,8 +102,8 @@ def trigrams(records: DataFrame, name: str = "name") -> DataFrame:
     return records.select("rec_id", word).filter("word <> ''").select("rec_id", F.explode(grams).alias("gram")).groupBy("rec_id", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf_pairs(records: DataFrame, threshold: float = 0.4, top_k: int = 50, min_df: int = 2, max_df: float = 0.05, name: str = "name") -> DataFrame:
-    """(id_l, id_r, cosine) of names by TF-IDF trigrams: each row's top_k partners of larger id at threshold or more."""
+def tfidf_pairs(records: DataFrame, threshold: float = 0.4, top_k: int | None = 50, min_df: int = 2, max_df: float = 0.05, name: str = "name") -> DataFrame:
+    """(id_l, id_r, cosine) of names by TF-IDF trigrams: each row's top_k partners of larger id (None: all) at threshold or more; trigrams of more than a share max_df of the rows are left out."""
     n = records.count()
     rows = trigrams(records, name)
     df = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter((F.col("df") >= min_df) & (F.col("df") <= max(min_df, max_df * n)))
@@ -107,16 +111,24 @@ def tfidf_pairs(records: DataFrame, threshold: float = 0.4, top_k: int = 50, min
     norm = raw.groupBy("rec_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     unit = raw.join(norm, "rec_id").select("rec_id", "gram", (F.col("w") / F.col("norm")).alias("w"))
     left, right = unit.toDF("id_l", "gram", "wl"), unit.toDF("id_r", "gram", "wr")
-    cosine = left.join(right, "gram").filter("id_l < id_r").groupBy("id_l", "id_r").agg(F.sum(F.col("wl") * F.col("wr")).alias("cosine")).filter(F.col("cosine") >= threshold)
+    met = left.join(right, "gram") if max_df < 1 else spread_join(left, right, ["gram"])
+    cosine = met.filter("id_l < id_r").groupBy("id_l", "id_r").agg(F.sum(F.col("wl") * F.col("wr")).alias("cosine")).filter(F.col("cosine") >= threshold)
+    if top_k is None:
+        return cosine
     rank = F.row_number().over(Window.partitionBy("id_l").orderBy(F.desc("cosine"), "id_r"))
     return cosine.withColumn("rank", rank).filter(F.col("rank") <= top_k).drop("rank")
 
 
-def identifier_neighbours(records: DataFrame, radius: int = 1, nit: str = "nit", max_block: int = 2000) -> DataFrame:
-    """Pairs of identifiers at Levenshtein distance radius (0 or 1) or less, by deletion keys."""
+def _neighbour_keys(records: DataFrame, radius: int, nit: str) -> DataFrame:
     base = records.filter(F.col(nit) != "").select("rec_id", F.col(nit).alias("v"))
     keys = F.array(F.col("v")) if radius == 0 else F.array_distinct(F.concat(F.array(F.col("v")), F.transform(F.sequence(F.lit(1), F.length("v")), lambda i: F.concat(F.substring(F.col("v"), F.lit(1), i - 1), F.substring(F.col("v"), i + 1, F.length("v"))))))
-    pairs = pairs_by_key(base.select("rec_id", F.explode(keys).alias("key")), max_block)
+    return base.select("rec_id", "v", F.explode(keys).alias("key"))
+
+
+def identifier_neighbours(records: DataFrame, radius: int = 1, nit: str = "nit", max_block: int | None = 2000) -> DataFrame:
+    """Pairs of identifiers at Levenshtein distance radius (0 or 1) or less, by deletion keys."""
+    pairs = pairs_by_key(_neighbour_keys(records, radius, nit).select("rec_id", "key"), max_block)
+    base = records.filter(F.col(nit) != "").select("rec_id", F.col(nit).alias("v"))
     left, right = base.toDF("id_l", "vl"), base.toDF("id_r", "vr")
     return pairs.join(left, "id_l").join(right, "id_r").filter(F.levenshtein("vl", "vr") <= radius).select("id_l", "id_r")
 
@@ -167,10 +179,69 @@ def union_pairs(**strategies: DataFrame) -> DataFrame:
     return whole.groupBy("id_l", "id_r").agg(F.array_sort(F.collect_set("strategy")).alias("strategies"))
 
 
-def hybrid(records: DataFrame, cross_only: bool = False, trusted: tuple[str, ...] = ()) -> DataFrame:
-    """Identifier neighbours, distinctive tokens and TF-IDF partners together, under the source policy."""
-    pairs = union_pairs(nit=identifier_neighbours(records), tokens=distinctive_tokens(records), tfidf=tfidf_pairs(records))
+def canonical_key(c: Column) -> Column:
+    """A column's value as a block: upper case, trimmed; null where it is missing."""
+    value = F.upper(F.trim(c.cast("string")))
+    return F.when((value != "") & ~value.isin("NAN", "NONE", "NULL", "N/A"), value)
+
+
+#: Blocks of the hybrid's members beyond which overflow "skip" leaves them out, and the share of rows beyond which a trigram is.
+NIT_BLOCK, TOKEN_BLOCK, KEY_BLOCK, GRAM_SHARE = 2000, 300, 2000, 0.05
+
+
+def hybrid(records: DataFrame, cross_only: bool = False, trusted: tuple[str, ...] = (), keys: tuple[str, ...] = (), overflow: str = "skip") -> DataFrame:
+    """Identifier neighbours, distinctive tokens, TF-IDF partners and equal canonical keys together, under the source policy.
+
+    overflow "skip" leaves large blocks out (hybrid_dropped() lists them), "exact" leaves out none: then every trigram and partner counts too.
+    """
+    if overflow not in ("skip", "exact"):
+        raise ValueError(f"no overflow {overflow}")
+    exact = overflow == "exact"
+    bound = lambda n: None if exact else n
+    members = {
+        "nit": identifier_neighbours(records, max_block=bound(NIT_BLOCK)),
+        "tokens": distinctive_tokens(records, max_block=bound(TOKEN_BLOCK)),
+        "tfidf": tfidf_pairs(records, top_k=bound(50), max_df=1.0 if exact else GRAM_SHARE),
+    }
+    members |= {f"key_{c}": pairs_by_key(records.select("rec_id", canonical_key(F.col(c)).alias("key")), bound(KEY_BLOCK)) for c in keys}
+    pairs = union_pairs(**members)
     if cross_only or trusted:
         src = records.select("rec_id", "src")
         pairs = pairs.join(src.toDF("id_l", "sl"), "id_l").join(src.toDF("id_r", "sr"), "id_r").filter(source_policy(F.col("sl"), F.col("sr"), cross_only, trusted)).drop("sl", "sr")
     return pairs
+
+
+def hybrid_dropped(records: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(strategy, key, records, pairs) of the blocks that hybrid() leaves out with overflow "skip": what a run may have missed."""
+    n = records.count()
+    blocks = {
+        "nit": (_neighbour_keys(records, 1, "nit").select("rec_id", "key"), NIT_BLOCK),
+        "tokens": (tokens(records).select("rec_id", F.col("token").alias("key")), TOKEN_BLOCK),
+        "tfidf": (trigrams(records).select("rec_id", F.col("gram").alias("key")), max(2, int(GRAM_SHARE * n))),
+    }
+    blocks |= {f"key_{c}": (records.select("rec_id", canonical_key(F.col(c)).alias("key")), KEY_BLOCK) for c in keys}
+    found = None
+    for strategy, (keyed, most) in blocks.items():
+        part = dropped_blocks(keyed, most).select(F.lit(strategy).alias("strategy"), "key", "records", "pairs")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def recall_of(candidates: dict[str, DataFrame], records: DataFrame, similar: Column, queries: Column) -> DataFrame:
+    """(strategy, pairs, found, recall) of candidate pairs, measured by all pairs (of l and r, structs of the records' columns) between the rows that queries chooses and all others.
+
+    The chosen rows are a fixed share of all, held against every row in blocks; they are broadcast only where they are few.
+    """
+    side = lambda d, to: d.select(F.struct(*records.columns).alias(to))
+    chosen = records.filter(queries)
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # each row meets each query in one of the parts that the queries are dealt over
+    ask = side(chosen, "l").withColumn("part", F.pmod(F.xxhash64("l.rec_id"), F.lit(parts)))
+    each = side(records, "r").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    true = ask.join(each, "part").filter((F.col("l.rec_id") != F.col("r.rec_id")) & similar)
+    true = true.select(F.least("l.rec_id", "r.rec_id").alias("id_l"), F.greatest("l.rec_id", "r.rec_id").alias("id_r")).distinct()
+    named = union_pairs(**candidates).select("id_l", "id_r", F.explode("strategies").alias("strategy"))
+    hits = true.join(named, ["id_l", "id_r"]).groupBy("strategy").agg(F.count(F.lit(1)).alias("found"))
+    whole = records.sparkSession.createDataFrame([(c,) for c in candidates], "strategy string").crossJoin(true.agg(F.count(F.lit(1)).alias("pairs")))
+    counted = whole.join(hits, "strategy", "left").select("strategy", "pairs", F.coalesce("found", F.lit(0)).alias("found"))
+    return counted.withColumn("recall", F.when(F.col("pairs") > 0, F.col("found") / F.col("pairs")).otherwise(1.0))

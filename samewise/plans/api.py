@@ -16,27 +16,34 @@ from ..sources.readers import consolidate
 
 @dataclass
 class LinkageResult:
-    """Lazy tables: correlative (one row per record), golden (one per group), pairs (scored evidence)."""
+    """Lazy tables: correlative (one row per record), golden (one per group), pairs (scored evidence), dropped (blocks that gave no candidates)."""
 
     correlative: DataFrame
     golden: DataFrame
     pairs: DataFrame
+    dropped: DataFrame
 
 
-def prepare(whole: DataFrame, name: str, nit: str | None, own_id: str | None = None) -> DataFrame:
-    """rec_id, record, src, name, nit, base: normalised records of consolidated sources."""
+def prepare(whole: DataFrame, name: str, nit: str | None, own_id: str | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """rec_id, record, src, name, nit, base and key_<column> of each key: normalised records of consolidated sources."""
     found = ids.process_nit(F.col(nit)) if nit else F.struct(F.lit("").alias("NIT_OK"), F.lit("").alias("NIT_BASE"))
     record = F.concat(F.col("SRC"), F.lit("-F"), F.col("ORIGINAL_INDEX").cast("string"))
     if own_id:
         record = F.when(F.col(own_id).isNotNull(), F.concat_ws("-", "SRC", F.col(own_id).cast("string"))).otherwise(record)
-    rows = whole.select(record.alias("record"), F.col("SRC").alias("src"), F.col(name).alias("raw_name"), text.clean_name(F.col(name)).alias("name"), found.alias("f"))
-    return rows.select(F.xxhash64("record").alias("rec_id"), "record", "src", "raw_name", "name", F.col("f.NIT_OK").alias("nit"), F.col("f.NIT_BASE").alias("base"))
+    rows = whole.select(record.alias("record"), F.col("SRC").alias("src"), F.col(name).alias("raw_name"), text.clean_name(F.col(name)).alias("name"), found.alias("f"), *[F.col(c).alias(f"key_{c}") for c in keys])
+    return rows.select(F.xxhash64("record").alias("rec_id"), "record", "src", "raw_name", "name", F.col("f.NIT_OK").alias("nit"), F.col("f.NIT_BASE").alias("base"), *[f"key_{c}" for c in keys])
 
 
-def linkage(spark: SparkSession, sources: dict[str, DataFrame], name: str, nit: str | None = None, own_id: str | None = None, profile: scoring.Profile = scoring.Profile(), cross_only: bool = False, trusted: tuple[str, ...] = (), coverage: float = 0.8) -> LinkageResult:
-    """Normalise, block, score, group, split by identifier, cover by stars, golden; each step a stored table."""
-    records = stored(prepare(consolidate(sources), name, nit, own_id), "records")
-    pairs = stored(blocking.hybrid(records, cross_only, trusted), "pairs")
+def linkage(spark: SparkSession, sources: dict[str, DataFrame], name: str, nit: str | None = None, own_id: str | None = None, profile: scoring.Profile = scoring.Profile(), cross_only: bool = False, trusted: tuple[str, ...] = (), coverage: float = 0.8, keys: tuple[str, ...] = (), overflow: str = "skip") -> LinkageResult:
+    """Normalise, block, score, group, split by identifier, cover by stars, golden; each step a stored table.
+
+    keys: columns whose equal values make candidates too. overflow: "skip" leaves large blocks out and names them in dropped, "exact" leaves out none.
+    """
+    records = stored(prepare(consolidate(sources), name, nit, own_id, keys), "records")
+    keyed = tuple(f"key_{c}" for c in keys)
+    pairs = stored(blocking.hybrid(records, cross_only, trusted, keyed, overflow), "pairs")
+    dropped = blocking.hybrid_dropped(records, keyed)
+    dropped = dropped.limit(0) if overflow == "exact" else dropped
     scored = stored(scoring.score_pairs(pairs.select("id_l", "id_r"), records, profile), "scored")
     groups = clusters.strict(records, scored)
     torn = stored(clusters.cannot_link(groups.join(records.select("rec_id", "base"), "rec_id")), "torn")
@@ -49,7 +56,7 @@ def linkage(spark: SparkSession, sources: dict[str, DataFrame], name: str, nit:
     entities = golden.entity_ids(final.select("group", "record", "base"))
     gold = golden.golden(final, tuple(sources)).join(numbers, "group").join(entities, "group").drop("group")
     correlative = final.join(numbers, "group").join(entities, "group").select("record", "src", "raw_name", "name", "nit", "base", "ID_GRUPO", "ID_ENTIDAD")
-    return LinkageResult(correlative, gold, scored)
+    return LinkageResult(correlative, gold, scored, dropped)
 
 
 def link(spark: SparkSession, a: DataFrame, b: DataFrame, name: str, nit: str | None = None, **options) -> tuple[LinkageResult, DataFrame]:

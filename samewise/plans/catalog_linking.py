@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text, traits
-from ..operators import anchors, names, similar
+from ..operators import anchors, blocking, names, similar
 from ..operators.tables import stored
 
 QUERIES, ORACLES = {}, {}
@@ -135,3 +135,30 @@ def destination_dedup(spark, sf_dir):
     key = F.expr("CASE WHEN s_suppkey % 4 = 0 THEN concat('FR', 100000000 + s_suppkey div 8, '0000', s_suppkey % 8) ELSE concat('ID', s_suppkey div 4, '-', s_suppkey % 4) END")
     rows = s.select(F.col("s_suppkey").alias("rec_id"), key.alias("key"), F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("countries"))
     return anchors.dedupe_destinations(rows, True)[0].select("rec_id", "group", "n_in_group")
+
+
+_LONG = "upper(p_name || ' ' || p_type || ' ' || p_brand || ' LINE ' || p_size)"
+
+
+@query("candidate_recall", f"""WITH n AS (SELECT p_partkey AS id, {_LONG} AS name FROM part), t AS (SELECT DISTINCT least(a.id, b.id) AS l, greatest(a.id, b.id) AS r FROM n a JOIN n b ON a.id % 100 = 0 AND a.id <> b.id
+        AND 100 * (greatest(length(a.name), length(b.name)) - levenshtein(a.name, b.name)) >= 85 * greatest(length(a.name), length(b.name)))
+    SELECT strategy, CAST(count(*) AS BIGINT) AS pairs, true AS enough FROM t, (SELECT unnest(['hybrid_exact', 'lsh', 'tfidf']) AS strategy) GROUP BY strategy""")
+def candidate_recall(spark, sf_dir):
+    """Pairs of names alike by 0.85 of which one has an id divisible by 100, and whether each way of blocking finds 0.9 of them."""
+    r = stored(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("rec_id"), F.expr(_LONG).alias("name"), F.lit("").alias("nit")), "records")
+    long = F.greatest(F.length("l.name"), F.length("r.name"))
+    alike = 100 * (long - F.levenshtein("l.name", "r.name")) >= 85 * long
+    ways = {"hybrid_exact": blocking.hybrid(r, overflow="exact"), "lsh": blocking.lsh_pairs(r, bands=32, rows=2, overflow="exact"), "tfidf": blocking.tfidf_pairs(r, top_k=None, max_df=1.0)}
+    return blocking.recall_of(ways, r, alike, F.col("rec_id") % 100 == 0).select("strategy", "pairs", (F.col("recall") >= 0.9).alias("enough"))
+
+
+@query("dropped_candidates", """WITH r AS (SELECT p_partkey AS rec_id, upper(p_name) AS name, p_type, p_brand FROM part), n AS (SELECT count(*) AS n FROM r),
+    t AS (SELECT DISTINCT rec_id, unnest(string_split(name, ' ')) AS key FROM r),
+    w AS (SELECT rec_id, ' ' || lower(key) || ' ' AS p FROM (SELECT rec_id, unnest(string_split(name, ' ')) AS key FROM r)), g AS (SELECT DISTINCT rec_id, unnest(list_transform(range(1, greatest(length(p) - 2, 1) + 1), lambda i: substr(p, i, 3))) AS key FROM w),
+    b AS (SELECT 'tokens' AS strategy, key, count(*) AS records, 300 AS most FROM t WHERE length(key) >= 4 GROUP BY key
+        UNION ALL SELECT 'tfidf', key, count(*), greatest(2, CAST(floor(0.05 * n) AS BIGINT)) FROM g, n GROUP BY key, n UNION ALL SELECT 'key_p_type', upper(trim(p_type)), count(*), 2000 FROM r GROUP BY 2)
+    SELECT strategy, key, CAST(records AS BIGINT) AS records, CAST(records * (records - 1) // 2 AS BIGINT) AS pairs FROM b WHERE records > most""")
+def dropped_candidates(spark, sf_dir):
+    """What the hybrid would leave out of the part names, with the type as a canonical key."""
+    r = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("rec_id"), F.upper("p_name").alias("name"), F.lit("").alias("nit"), "p_type")
+    return blocking.hybrid_dropped(r, ("p_type",))
