@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clusters, golden, refine, similar
+from ..operators import clusters, golden, refine, similar, suggest
 from ..operators.tables import stored
 
 QUERIES, ORACLES = {}, {}
@@ -126,3 +126,29 @@ def identifier_consolidation(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select(key.alias("rec_id"), key.alias("group"), F.col("p_type").alias("src"), name.alias("name"), F.concat("p_brand", F.col("p_size").cast("string")).alias("nit"))
     gold = golden.confidence(golden.group_metrics(rows)).join(rows.select("group", F.col("nit").alias("NIT_FINAL"), F.col("name").alias("NOMBRE_FINAL")), "group")
     return refine.consolidate_by_identifier(rows, stored(gold, "gold"))[0].select("rec_id", "group")
+
+
+def _schema_sql(name: str) -> str:
+    """Decisions of one table by aggregates over its unpivoted columns."""
+    plain = "regexp_replace(v, '[\\s.\\-]', '', 'g')"
+    return f"""SELECT '{name}' AS "table", col AS "column", CASE
+            WHEN regexp_matches(col, '(?i)RAZON|COMPANY|EMPRESA|BUSINESS|SUPPLIER|PROVEEDOR|CLIENTE') OR (regexp_matches(col, '(?i)NOMBRE|NAME') AND spaces >= 0.3) THEN 'nombre_empresa'
+            WHEN regexp_matches(col, '(?i)FECHA|DATE|^FEC_') OR dates >= 0.8 THEN 'fecha'
+            WHEN numbers >= 0.9 AND (decimals >= 0.3 OR digit_length <= 5) THEN 'numerico' WHEN numbers >= 0.9 THEN '-' WHEN d / n <= 0.05 AND d <= 100 THEN 'categorico' ELSE '-' END AS kind
+        FROM (SELECT col, count(*) AS n, count(DISTINCT v) AS d, coalesce(quantile_disc(length({plain}), 0.5) FILTER (regexp_full_match({plain}, '[0-9]+')), 0) AS digit_length,
+            avg(CAST(contains(v, ' ') AS INTEGER)) AS spaces, avg(CAST(regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS INTEGER)) AS dates,
+            avg(CAST(TRY_CAST(v AS DOUBLE) IS NOT NULL AS INTEGER)) AS numbers, avg(CAST(regexp_full_match(v, '-?[0-9]+[.,][0-9]+') AS INTEGER)) AS decimals
+            FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM {name}) ON COLUMNS(*) INTO NAME col VALUE v) GROUP BY col)"""
+
+
+_SUGGESTED = ("region", "nation", "customer", "supplier", "part", "orders")
+
+
+@query("schema_suggestion", " UNION ALL ".join(_schema_sql(t) for t in _SUGGESTED))
+def schema_suggestion(spark, sf_dir):
+    """What kind of field each column of the star schema is."""
+    found = None
+    for name in _SUGGESTED:
+        part = suggest.suggest_schema(table(spark, sf_dir, name)).select(F.lit(name).alias("table"), "column", "kind")
+        found = part if found is None else found.unionByName(part)
+    return found
