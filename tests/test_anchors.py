@@ -130,3 +130,12 @@ def test_name_similarity_against_plain_python(spark):
         else:
             assert (r["SCORE"], r["USO_CONTENCION"]) == (pytest.approx(score(r["l"], r["r"])[0]), score(r["l"], r["r"])[1]), r
     assert sum(r["USO_CONTENCION"] for r in got) > 3
+
+
+def test_traits_are_worked_out_once(spark, monkeypatch):
+    # 30 countries and three legal forms of the same two texts: 540 pairs of spellings went to Python before
+    rows = [(f"C{c:02d}", f"{n}{f}", False) for c in range(30) for n in ("Zelvora Alimentos", "Zelvora Alimento") for f in ("", " SA", " SL")]
+    seen, real = [], anchors.text_traits
+    monkeypatch.setattr(anchors, "text_traits", lambda pairs, rules: seen.append(real(pairs, rules)) or seen[-1])
+    got = anchors.dedupe_anchors(spark.createDataFrame(rows, "country string, name string, cut boolean"), RULES)
+    assert got.spellings.count() == 180 and [t.count() for t in seen] == [3]
