@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samewise.functions import identifiers, repair
-from samewise.operators import clusters, pairs
+from samewise.operators import blocking, clusters, pairs
 
 
 def one(spark, text, column):
@@ -95,9 +95,9 @@ def test_near_spellings_against_all_pairs(spark):
     assert got == {(a, b) for a in words for b in words if a != b and 100 * (max(len(a), len(b)) - distance(a, b)) >= 85 * max(len(a), len(b))}
     assert strings.token_set_ratio("a b", "b a") == 1
 
+    from samewise.operators import blocking
 
 def test_oversize_blocks_have_an_exact_way(spark):
-    from samewise.operators import blocking
 
     keyed = spark.createDataFrame([(i, "hot" if i < 40 else f"k{i // 2}") for i in range(60)], "rec_id long, key string")
     whole = {(a, b) for a in range(40) for b in range(a + 1, 40)} | {(i, i + 1) for i in range(40, 60, 2)}
@@ -171,3 +171,17 @@ def test_thinned_edges_keep_the_components(spark):
     edges = spark.createDataFrame([(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(a, b) for a in range(20) for b in range(20)], "id_l long, id_r long")
     thin = clusters.thinned(edges)
     assert sorted(clusters.components(nodes, thin).collect()) == sorted(clusters.components(nodes, edges).collect()) and thin.count() <= 100
+
+
+def test_pairs_by_key_of_one_key_compares_no_pairs(spark):
+    # all pairs went through a distinct before, in tasks as few as the keyed rows fill
+    one = spark.range(900).selectExpr("id AS rec_id", "cast(id % 3 AS string) AS key", "cast(id % 2 AS string) AS src")
+    found = blocking.pairs_by_key(one, None)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and found.rdd.getNumPartitions() >= 4 and found.count() == 3 * 300 * 299 // 2
+    rng = random.Random(3)
+    rows = list({(rng.randrange(40), rng.choice("abc"), rng.choice("xy")) for _ in range(90)})
+    want = {(a, b) for a, k, s in rows for b, l, t in rows if a < b and k == l and (s != t or s != "x")}
+    for max_block in (None, 60):
+        got = [tuple(r) for r in blocking.pairs_by_key(spark.createDataFrame(rows, "rec_id long, key string, src string"), max_block, trusted=("x",)).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
