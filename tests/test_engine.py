@@ -206,3 +206,25 @@ def test_schema_dedupe_takes_copies_as_one(spark, tmp_path):
     spark.range(6_000).selectExpr("id AS p_partkey", "'red bolt' AS p_name", "'b' AS p_brand", "'t' AS p_type", "cast(id % 2 * 20 + 1 AS int) AS p_size", "1.0D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
     got = catalog.schema_dedupe(spark, str(tmp_path)).groupBy("group").count().collect()
     assert [tuple(r) for r in got] == [(0, 6_000)]
+
+
+def test_geo_grid_compares_no_pairs(spark):
+    # all pairs went through a distinct before
+    rows = spark.range(300).select(F.col("id").alias("rec_id"), (F.col("id") % 3 * 0.01 + 0.005).alias("lat"), F.lit(0.005).alias("lon"))
+    found = blocking.geo_grid(rows)
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString() and found.count() == 300 * 299 // 2 - 100 * 100
+    twice = rows.unionByName(spark.createDataFrame([(1, 0.005, 0.005), (0, 0.015, 0.005), (2, 0.025, 0.005)], rows.schema))
+    got = [tuple(r) for r in blocking.geo_grid(twice).collect()]
+    x = {}
+    for i, place in [(i, i % 3) for i in range(300)] + [(1, 0), (0, 1)]:
+        x.setdefault(i, set()).add(place)
+    want = {(a, b) for a in x for b in x if a < b and any(abs(p - q) <= 1 for p in x[a] for q in x[b])}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_near_names_are_dealt_over_all_tasks(spark, tmp_path):
+    # a few thousand rows fill one task, which made all their pairs before
+    spark.range(3_000).selectExpr("id AS p_partkey", "concat('red bolt', id % 2) AS p_name", "'b' AS p_brand", "'t' AS p_type").write.parquet(f"{tmp_path}/part.parquet")
+    found = catalog.near_name_pairs(spark, str(tmp_path))
+    spread = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in spread) == 3_000 * 2_999 // 2 and max(r["count"] for r in spread) < 3_000_000
