@@ -63,8 +63,8 @@ def _near_spellings(p):
 def near_names(spark, sf_dir):
     p = parts(spark, sf_dir).select("rec_id", "brand", "name")
     left, right = p.toDF("id_l", "brand", "nl"), p.toDF("id_r", "brand", "nr")
-    same = spread_join(left, right.withColumnRenamed("nr", "nl"), ["brand", "nl"])
-    other = spread_join(left.join(_near_spellings(p), ["brand", "nl"]), right, ["brand", "nr"])
+    same = spread_join(left, right.withColumnRenamed("nr", "nl"), ["brand", "nl"], 500, parted=True)
+    other = spread_join(left.join(_near_spellings(p), ["brand", "nl"]), right, ["brand", "nr"], 500, parted=True)
     return same.select("id_l", "id_r").unionAll(other.select("id_l", "id_r")).filter("id_l < id_r")
 
 
