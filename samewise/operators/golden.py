@@ -41,12 +41,10 @@ def best_nit(rows: DataFrame) -> DataFrame:
 def best_name(rows: DataFrame, priority: tuple[str, ...] = ()) -> DataFrame:
     """group, NOMBRE_FINAL: among the rows of the best source the most frequent fingerprint (tie: first seen), and its most frequent, longest, first name."""
     rank = F.coalesce(*[F.when(F.col("src") == s, i) for i, s in enumerate(priority)], F.lit(len(priority)))
-    named = rows.filter("name <> ''").withColumns({"rank": rank, "print": text.fingerprint(F.col("name"))})
-    best = named.groupBy("group").agg(F.min("rank").alias("rank"))
-    own = named.join(best, ["group", "rank"])
-    each = own.groupBy("group", "print", "name").agg(F.count(F.lit(1)).alias("n"), F.min("rec_id").alias("first"))
-    prints = each.groupBy("group", "print").agg(F.sum("n").alias("total"), F.min("first").alias("first"), F.min(F.struct(-F.col("n"), -F.length("name"), F.col("name").alias("name")))["name"].alias("name"))
-    return prints.groupBy("group").agg(F.min(F.struct(-F.col("total"), F.col("first"), F.col("name").alias("name")))["name"].alias("NOMBRE_FINAL"))
+    named = rows.filter("name <> ''").withColumn("rank", rank)
+    each = named.groupBy("group", "rank", "name").agg(F.count(F.lit(1)).alias("n"), F.min("rec_id").alias("first")).withColumn("print", text.fingerprint(F.col("name")))
+    prints = each.groupBy("group", "rank", "print").agg(F.sum("n").alias("total"), F.min("first").alias("first"), F.min(F.struct(-F.col("n"), -F.length("name"), F.col("name").alias("name")))["name"].alias("name"))
+    return prints.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct("rank", -F.col("total"), F.col("first"), F.col("name").alias("name")))["name"].alias("NOMBRE_FINAL"))
 
 
 def golden(rows: DataFrame, priority: tuple[str, ...] = (), min_sources: int = 1) -> DataFrame:
@@ -68,7 +66,7 @@ def collapse(df: DataFrame, columns: list[str], row_id: str) -> tuple[DataFrame,
 def presence(rows: DataFrame) -> DataFrame:
     """(src_a, src_b, groups): groups that hold both sources, the diagonal included."""
     seen = rows.select("group", "src").distinct()
-    return seen.toDF("group", "src_a").join(seen.toDF("group", "src_b"), "group").groupBy("src_a", "src_b").agg(F.countDistinct("group").alias("groups"))
+    return seen.toDF("group", "src_a").join(seen.toDF("group", "src_b"), "group").groupBy("src_a", "src_b").agg(F.count(F.lit(1)).alias("groups"))
 
 
 def absent_from(rows: DataFrame, src: str) -> DataFrame:
@@ -94,10 +92,11 @@ def conflicts(rows: DataFrame) -> DataFrame:
 
 def entity_ids(rows: DataFrame) -> DataFrame:
     """group, ID_ENTIDAD from rows (group, record, base): NIT-<base> for the group of a base with most records (tie: smallest record), else by content."""
-    g = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("record").alias("least"), F.collect_list("record").alias("records"), F.min(F.when(F.col("base") != "", F.col("base"))).alias("base"), F.countDistinct(F.when(F.col("base") != "", F.col("base"))).alias("bases"))
-    rank = F.row_number().over(Window.partitionBy("base").orderBy(F.when(F.col("bases") == 1, 0).otherwise(1), F.desc("n"), "least"))
-    named = F.when((F.col("bases") == 1) & (F.col("rank") == 1), F.concat(F.lit("NIT-"), F.col("base"))).otherwise(ids.content_id(F.col("records")))
-    return g.withColumn("rank", rank).select("group", named.alias("ID_ENTIDAD"))
+    g = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("record").alias("least"), F.collect_list("record").alias("records"), F.min(F.when(F.col("base") != "", F.col("base"))).alias("base"), F.max(F.when(F.col("base") != "", F.col("base"))).alias("last"))
+    # a base may be that of any share of the groups: only its best one is sought, no base is ranked in one task
+    best = g.filter("base = last").groupBy("base").agg(F.min(F.struct(-F.col("n"), "least", "group"))["group"].alias("group")).select("group", F.lit(True).alias("first"))
+    named = F.when(F.col("first"), F.concat(F.lit("NIT-"), F.col("base"))).otherwise(ids.content_id(F.col("records")))
+    return g.join(best, "group", "left").select("group", named.alias("ID_ENTIDAD"))
 
 
 def crosswalk(rows: DataFrame) -> DataFrame:

@@ -69,8 +69,8 @@ def name_variety(rows: DataFrame) -> DataFrame:
 
 def presence_share(presence: DataFrame) -> DataFrame:
     """The presence matrix (src_a, src_b, groups) with each cell's percentage of its row's diagonal."""
-    whole = presence.filter("src_a = src_b").select("src_a", F.col("groups").alias("whole"))
-    return presence.join(whole, "src_a").select("src_a", "src_b", "groups", F.round(100 * F.col("groups") / F.col("whole"), 4).alias("share"))
+    whole = F.max(F.when(F.col("src_a") == F.col("src_b"), F.col("groups"))).over(Window.partitionBy("src_a"))
+    return presence.withColumn("whole", whole).filter("whole IS NOT NULL").select("src_a", "src_b", "groups", F.round(100 * F.col("groups") / F.col("whole"), 4).alias("share"))
 
 
 def sensitivity(pairs: DataFrame, base: float, thresholds: list[float]) -> DataFrame:
