@@ -45,3 +45,11 @@ def test_dropped_blocks_shuffle_counts_only(spark, monkeypatch):
     assert ("tokens", "BOLT", 310) in got and ("tfidf", "red", 310) in got and all(plan(d).count("Exchange") == 1 for d in seen)
     doubled = {(r["strategy"], r["key"], r["records"]) for r in blocking.hybrid_dropped(rows.unionByName(rows)).collect()}
     assert ("tokens", "BOLT", 310) in doubled
+
+
+def test_label_confusion_shuffles_no_pairs(spark):
+    rows = spark.range(200).selectExpr("id", "CASE WHEN id % 11 > 0 THEN id % 5 END AS t", "CASE WHEN id % 13 > 0 THEN id % 5 + cast(id % 7 = 0 AS int) END AS p")
+    got = pairs.label_confusion(rows, "id", "t", "p")
+    want = pairs.pair_confusion(pairs.group_pairs(rows, "id", "t"), pairs.group_pairs(rows, "id", "p"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert plan(got).count("Exchange") < plan(want).count("Exchange")
