@@ -53,3 +53,11 @@ def test_label_confusion_shuffles_no_pairs(spark):
     want = pairs.pair_confusion(pairs.group_pairs(rows, "id", "t"), pairs.group_pairs(rows, "id", "p"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert plan(got).count("Exchange") < plan(want).count("Exchange")
+
+
+def test_group_metrics_shuffle_sources_once(spark):
+    rows = spark.createDataFrame([(1, "a", "x", "1", 1), (1, "b", "y", "", 2), (1, None, "x", "1", 3)], "group long, src string, name string, nit string, rec_id long")
+    got = golden.group_metrics(rows)
+    expand = got._jdf.queryExecution().optimizedPlan().toString().split("Expand [")[1].split("\n")[0]
+    assert expand.count("], [") == 3  # copies of a row for the rest, identifiers and names, then the columns
+    assert tuple(got.first())[1:6] == ("a|b", 2, 3, 2, 1)
