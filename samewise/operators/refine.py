@@ -95,6 +95,7 @@ def spanning_forest(edges: DataFrame, order: Column) -> DataFrame:
     """The edges (id_l, id_r and further columns) of the least spanning forest by order (ties: id_l, id_r): those that, taken in order, each unite two groups.
 
     Each round every group takes its least edge to another one, and what these connect becomes a group; groups at least halve each time.
+    Rounds join by shuffles, so that no group table passes the driver.
     """
     rest = edges.filter("id_l <> id_r").withColumns({"__o": order, "__a": F.col("id_l"), "__b": F.col("id_r")})
     rest = stored(rest.groupBy("id_l", "id_r").agg(F.min(F.struct("__o", *[c for c in edges.columns if c not in ("id_l", "id_r")])).alias("__x"), F.first("__a").alias("__a"), F.first("__b").alias("__b")), "edges")
@@ -109,7 +110,7 @@ def spanning_forest(edges: DataFrame, order: Column) -> DataFrame:
         groups = best.select(F.explode(F.array("__a", "__b")).alias("rec_id")).distinct()
         into = stored(components(groups, best.select(F.col("__a").alias("id_l"), F.col("__b").alias("id_r"))), "contracted")
         for side in ("__a", "__b"):
-            rest = rest.join(into.toDF(side, "__g"), side, "left").withColumn(side, F.coalesce("__g", side)).drop("__g")
+            rest = rest.join(into.toDF(side, "__g").hint("merge"), side, "left").withColumn(side, F.coalesce("__g", side)).drop("__g")
         rest = stored(rest.filter("__a <> __b").select("id_l", "id_r", "__x", "__a", "__b"), "edges")
     more = [c for c in edges.columns if c not in ("id_l", "id_r")]
     if taken is None:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from samewise.operators import blocking, golden, pairs, reports
+from samewise.operators import blocking, clusters, golden, pairs, refine, reports
 
 
 def plan(df):
@@ -61,3 +61,14 @@ def test_group_metrics_shuffle_sources_once(spark):
     expand = got._jdf.queryExecution().optimizedPlan().toString().split("Expand [")[1].split("\n")[0]
     assert expand.count("], [") == 3  # copies of a row for the rest, identifiers and names, then the columns
     assert tuple(got.first())[1:6] == ("a|b", 2, 3, 2, 1)
+
+
+def test_rounds_broadcast_nothing(spark, monkeypatch):
+    # every round sent its labels through the driver before
+    seen, real = [], clusters.stored
+    for module in (clusters, refine):
+        monkeypatch.setattr(module, "stored", lambda df, name="step": seen.append(plan(df)) or real(df, name))
+    edges = spark.range(1, 60).selectExpr("id AS id_l", "id div 2 AS id_r", "id * 7 % 13 AS number", "'r' AS rule")
+    forest, _ = refine.union_provenance(edges)
+    assert forest.count() == 59 and len(seen) > 5 and not any("Broadcast" in p for p in seen)
+    assert "Broadcast" not in plan(clusters.components(spark.range(60).toDF("rec_id"), forest))
