@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import evaluation
+from .tables import task_parts
 
 
 def expand(expansion: DataFrame, compact: DataFrame, payload: DataFrame | None = None) -> DataFrame:
@@ -36,12 +37,17 @@ def union_method(rows: DataFrame) -> DataFrame:
     return found.withColumn("METODO_UNION", method).drop("__size", "__mates")
 
 
-def pair_score(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """rec_id, SCORE_PAR: the best score of a pair with a member of the record's own group; null without one. pairs: (id_l, id_r, score)."""
-    own = rows.select("rec_id", "group")
-    both = pairs.select("id_l", "id_r", "score").join(own.toDF("id_l", "gl"), "id_l").join(own.toDF("id_r", "gr"), "id_r").filter("gl = gr")
-    ends = both.select(F.explode(F.array("id_l", "id_r")).alias("rec_id"), "score").groupBy("rec_id").agg(F.max("score").alias("SCORE_PAR"))
-    return own.select("rec_id").join(ends, "rec_id", "left")
+def pair_score(rows: DataFrame, pairs: DataFrame, parts: int | None = None) -> DataFrame:
+    """rec_id, SCORE_PAR: the best score of a pair with a member of the record's own group; null without one. pairs: (id_l, id_r, score).
+
+    parts: tasks of each join; if None, rows are counted and dealt over as many as keep a task's share bounded.
+    """
+    n = parts or task_parts(rows)
+    own = rows.select("rec_id", "group").repartition(n, "rec_id")
+    left, right = (own.toDF(f"id_{s}", f"g{s}").hint("merge") for s in "lr")
+    both = pairs.select("id_l", "id_r", "score").repartition(n, "id_l").join(left, "id_l").repartition(n, "id_r").join(right, "id_r").filter("gl = gr")
+    ends = both.select(F.explode(F.array("id_l", "id_r")).alias("rec_id"), "score").repartition(n, "rec_id").groupBy("rec_id").agg(F.max("score").alias("SCORE_PAR"))
+    return own.select("rec_id").join(ends.hint("merge"), "rec_id", "left")
 
 
 def composition(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import countries as places
 from ..functions import kinds, text
 from ..operators import golden, linking, reports
-from ..operators.tables import shared_dir
+from ..operators.tables import shared_dir, task_parts
 from ..sources import workbooks
 from . import importers as route
 
@@ -164,9 +164,11 @@ def union_method(spark, sf_dir):
 @query("pair_score", f"""WITH {_ROWS}, p AS (SELECT a.rec_id AS l, b.rec_id AS r, a.rec_id % 97 / 97 AS s FROM r a JOIN r b ON a.g = b.g AND a.rec_id + 1 = b.rec_id), e AS (SELECT l AS rec_id, s FROM p UNION ALL SELECT r, s FROM p)
     SELECT r.rec_id, max(s) AS "SCORE_PAR" FROM r LEFT JOIN e USING (rec_id) GROUP BY r.rec_id""")
 def pair_score(spark, sf_dir):
-    rows = _rows(spark, sf_dir).dropDuplicates(["rec_id"])
+    whole = _rows(spark, sf_dir).select("rec_id", "group")
+    n = task_parts(whole)
+    rows = whole.repartition(n, "rec_id").dropDuplicates(["rec_id"])
     near = rows.select(F.col("rec_id").alias("id_l"), (F.col("rec_id") + 1).alias("id_r"), ((F.col("rec_id") % 97) / 97).alias("score"))
-    return reports.pair_score(rows, near)
+    return reports.pair_score(rows, near, n)
 
 
 _PAIRS = "p AS (SELECT o_orderkey AS id_l, o_orderkey + 1 AS id_r, o_orderkey % 101 / 101 AS score FROM orders)"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from samewise.operators import blocking, clusters, golden, pairs, refine, reports
+from samewise.operators import blocking, clusters, golden, pairs, refine, reports, tables
 
 
 def plan(df):
@@ -72,3 +72,13 @@ def test_rounds_broadcast_nothing(spark, monkeypatch):
     forest, _ = refine.union_provenance(edges)
     assert forest.count() == 59 and len(seen) > 5 and not any("Broadcast" in p for p in seen)
     assert "Broadcast" not in plan(clusters.components(spark.range(60).toDF("rec_id"), forest))
+
+
+def test_pair_score_parts_grow_with_rows(spark, monkeypatch):
+    # as many tasks as Spark's setting or fewer before, whatever the rows
+    monkeypatch.setattr(tables, "TASK_ROWS", 100)
+    rows = spark.range(1000).selectExpr("id AS rec_id", "id div 3 AS group")
+    got = reports.pair_score(rows, spark.range(999).selectExpr("id AS id_l", "id + 1 AS id_r", "id / 1000 AS score"))
+    assert got.rdd.getNumPartitions() == 10 and "Broadcast" not in plan(got)
+    want = {i: max([x / 1000 for x in (i - 1, i) if 0 <= x < 999 and x // 3 == (x + 1) // 3], default=None) for i in range(1000)}
+    assert {r["rec_id"]: r["SCORE_PAR"] for r in got.collect()} == want
