@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -87,7 +87,12 @@ class Schema:
 
 def decide_fields(pairs: DataFrame, records: DataFrame, schema: Schema) -> DataFrame:
     """id_l, id_r, score, concordances, veto, fusion: the weighted score under the missing-value policies."""
-    wide = attach(pairs, records, [f.name for f in schema.fields])
+    return decided(attach(pairs, records, [f.name for f in schema.fields]), schema).select("id_l", "id_r", "score", "concordances", "veto", "fusion")
+
+
+def decided(wide: DataFrame, schema: Schema) -> DataFrame:
+    """wide and score, concordances, veto, fusion of its rows; it holds the fields of both records as <field>_l and <field>_r."""
+    given = wide.columns
     scores = {f"s_{f.name}": cmp.REGISTRY[f.comparator].build(F.col(f"{f.name}_l"), F.col(f"{f.name}_r")) for f in schema.fields}
     known = {f"v_{f.name}": cmp.valid(F.col(f"{f.name}_l"), F.col(f"{f.name}_r")) for f in schema.fields}
     wide = wide.withColumns(scores | known)
@@ -108,10 +113,16 @@ def decide_fields(pairs: DataFrame, records: DataFrame, schema: Schema) -> DataF
         if f.missing == "BLOCK":
             blocked = blocked | ~v(f)
     score = F.when(bottom > 0, top / bottom).otherwise(0.0)
-    out = wide.select("id_l", "id_r", score.alias("score"), agree.alias("concordances"), veto.alias("veto"), blocked.alias("blocked"))
+    out = wide.select(*given, score.alias("score"), agree.alias("concordances"), veto.alias("veto"), blocked.alias("blocked"))
     return out.withColumn("fusion", (F.col("score") >= schema.threshold) & (F.col("concordances") >= schema.concordances) & ~F.col("veto") & ~F.col("blocked")).drop("blocked")
 
 
+def veto_schema(schema: Schema) -> Schema | None:
+    """The fields that settle whether a pair is vetoed, or None: the vetoing ones, all where others may lift a veto."""
+    vetoing = tuple(f for f in schema.fields if f.veto is not None)
+    return replace(schema, fields=schema.fields if schema.corroborate else vetoing) if vetoing else None
+
+
 def soft_tfidf(pairs: DataFrame, token_rows: DataFrame, weights: DataFrame, threshold: float = 0.9) -> DataFrame:
     """id_l, id_r, soft: Soft TF-IDF of the pairs' token lists. weights: token, idf."""
     lists = token_rows.join(weights, "token").groupBy("rec_id").agg(F.array_sort(F.collect_list(F.struct("token", "idf"))).alias("t"))

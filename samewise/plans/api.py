@@ -97,14 +97,27 @@ def dedupe_schema(records: DataFrame, schema: scoring.Schema) -> tuple[DataFrame
 def dedupe_by_key(records: DataFrame, key: Column, schema: scoring.Schema) -> DataFrame:
     """(rec_id, group) by the declarative engine over all pairs with equal key, blocks of any size.
 
-    Records that agree in key and all fields are one class: pairs are made between classes, and one within each that has copies.
-    The schema's comparators must give the same in both directions.
+    Records that agree in key and all fields are one class. Fusions of classes are tried but not stored, only the components that they
+    make; decisions are stored for components that hold a veto. The schema's comparators must give the same in both directions.
     """
     values = [f.name for f in schema.fields]
     keyed = records.select("rec_id", *values, key.alias("__key"))
     classes, members = golden.collapse(keyed, ["__key", *values], "rec_id")
     classes, members = stored(classes.withColumnRenamed("rep_id", "rec_id"), "classes"), stored(members, "members")
-    pairs = blocking.pairs_by_key(classes.select("rec_id", F.col("__key").alias("key")), overflow="exact")
-    copies = classes.filter("n_rows > 1 AND __key IS NOT NULL").select(F.col("rec_id").alias("id_l"), F.col("rec_id").alias("id_r"))
-    decisions = stored(scoring.decide_fields(pairs.unionByName(copies), classes, schema), "decisions")
-    return clusters.constrained_copies(members, decisions)
+    link = lambda wide: scoring.decided(wide, schema).withColumn("linked", F.expr("fusion AND NOT veto"))
+    whole = stored(clusters.linked(classes, values, link), "whole")
+    blocked = classes.filter("__key IS NOT NULL")
+    copies = blocked.filter("n_rows > 1").select("rec_id", *[F.col(v).alias(f"{v}_{s}") for v in values for s in "lr"])
+    several = whole.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    tied = whole.join(several, "group", "left_semi").select("rec_id").unionByName(link(copies).filter("linked").select("rec_id")).distinct()
+    vetoes = scoring.veto_schema(schema)
+    torn = whole.select("group").limit(0)
+    if vetoes:
+        torn = clusters.torn_groups(blocked.join(whole.toDF("rec_id", "__group"), "rec_id"), [f.name for f in vetoes.fields], lambda wide: scoring.decided(wide, vetoes))
+
+    def decide(inside: DataFrame) -> DataFrame:
+        pairs = blocking.pairs_by_key(inside.select("rec_id", F.col("group").alias("key")), overflow="exact")
+        each = blocked.filter("n_rows > 1").join(inside.select("rec_id"), "rec_id").select(F.col("rec_id").alias("id_l"), F.col("rec_id").alias("id_r"))
+        return stored(scoring.decide_fields(pairs.unionByName(each), classes, schema).filter("fusion OR veto"), "decisions")
+
+    return clusters.constrained_copies(members, whole, tied, stored(torn, "torn"), decide)

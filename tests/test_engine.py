@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from samewise.functions import comparators, strings, text
 from samewise.functions import identifiers as ids
-from samewise.operators import blocking, clusters, evaluation, golden, scoring
+from samewise.operators import blocking, clusters, evaluation, golden, scoring, tables
 from samewise.plans import api, catalog
 from samewise.sources import readers, sinks
 from samewise.streaming.incremental import fold_bases
@@ -201,6 +201,32 @@ def test_dedupe_by_key_against_all_pairs(spark, seed):
     assert decisions.filter("veto").count() and got == {r["rec_id"]: r["group"] for r in clusters.constrained(records, decisions).collect()}
 
 
+@pytest.mark.parametrize(("spread", "corroborate"), [(1.0, 0), (12.0, 1)])
+def test_dedupe_by_key_in_parts_against_all_pairs(spark, monkeypatch, spread, corroborate):
+    # sparse and dense links, no key or one or many rows of a key, fields named as columns of the operator
+    rng = random.Random(int(spread) + corroborate)
+    rows = [(i, rng.choice("kkkklm") if i % 19 else None, rng.choice(["red", "red", "red", "blue", None]), 10 ** (rng.random() * spread) if i % 13 else None, rng.choice([*range(1, 40), None])) for i in rng.sample(range(2000), 150)]
+    rows += [(i + 5000, *rest) for i, *rest in rows[::11]]
+    records = spark.createDataFrame(rows, "rec_id bigint, k string, key string, label double, group int")
+    schema = scoring.Schema((scoring.FieldSpec("key", "exact_signed", 0.5, veto=-0.5), scoring.FieldSpec("label", "number_relative", 1.0), scoring.FieldSpec("group", "number_relative", 1.0)), 0.6, 1, corroborate)
+    pairs = blocking.pairs_by_key(records.select("rec_id", F.col("k").alias("key")), None)
+    decisions = tables.stored(scoring.decide_fields(pairs, records, schema))
+    want = {r["rec_id"]: r["group"] for r in clusters.constrained(records, decisions).collect()}
+    monkeypatch.setattr(tables, "TASK_ROWS", 30)
+    got = {r["rec_id"]: r["group"] for r in api.dedupe_by_key(records, F.col("k"), schema).collect()}
+    assert decisions.filter("veto").count() and got == want
+
+
+def test_schema_dedupe_stores_no_pairs(spark, tmp_path, monkeypatch):
+    # each of 1000 values differs: 499500 decisions were stored before
+    spark.range(1_000).selectExpr("id AS p_partkey", "'red bolt' AS p_name", "'b' AS p_brand", "'t' AS p_type", "cast(id * 7 % 50 + 1 AS int) AS p_size", "900 + id / 10 AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    held, real = [], tables.stored
+    for module in (api, clusters, tables):
+        monkeypatch.setattr(module, "stored", lambda df, name="step": [d := real(df, name), held.append(d.count())][0])
+    got = catalog.schema_dedupe(spark, str(tmp_path)).groupBy("group").count().collect()
+    assert [tuple(r) for r in got] == [(0, 1_000)] and max(held) == 1_000
+
+
 def test_schema_dedupe_takes_copies_as_one(spark, tmp_path):
     # a block of 6000 copies: 18 million pairs, and left out as too large before
     spark.range(6_000).selectExpr("id AS p_partkey", "'red bolt' AS p_name", "'b' AS p_brand", "'t' AS p_type", "cast(id % 2 * 20 + 1 AS int) AS p_size", "1.0D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
