@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strings
 from ..functions.identifiers import let
+from .tables import shuffled
 
 
 @dataclass(frozen=True)
@@ -46,8 +47,8 @@ def name_words(names: DataFrame, rules: NameRules = NameRules(), column: str = "
     structural = F.col("word").isin(*rules.structural) if rules.structural else F.lit(False)
     held = held.withColumn("weight", F.when(generic, F.least("raw", F.lit(rules.neutral_weight))).otherwise(F.col("raw")))
     held = held.withColumn("telling", (F.length("word") >= rules.least_letters) & ~structural & ~F.regexp_like("word", F.lit("^[0-9]+$")))
-    listed = rows.join(held, "word").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("word", "raw", "weight", "telling"))).alias("words"))
-    return distinct.join(listed, "name", "left").select("name", F.coalesce("words", F.array().cast(listed.schema["words"].dataType)).alias("words")), n
+    listed = rows.join(shuffled(held), "word").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("word", "raw", "weight", "telling"))).alias("words"))
+    return distinct.join(shuffled(listed), "name", "left").select("name", F.coalesce("words", F.array().cast(listed.schema["words"].dataType)).alias("words")), n
 
 
 def _total(words: Column, value) -> Column:
@@ -62,7 +63,7 @@ def name_similarity(pairs: DataFrame, words: DataFrame, n: int, rules: NameRules
     """
     often = max(LEAST_NAMES, round(rules.distinctive * n)) if rules.distinctive else 0
     floor = F.log((1 + F.lit(n)) / (1 + F.lit(often))) + 1 if often else F.lit(0.0)
-    wide = pairs.join(words.toDF("l", "wl"), "l", "left").join(words.toDF("r", "wr"), "r", "left")
+    wide = pairs.join(shuffled(words.toDF("l", "wl")), "l", "left").join(shuffled(words.toDF("r", "wr")), "r", "left")
 
     def measure(x: Column) -> Column:
         shared, weight = x["shared"], lambda w: w["weight"]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samewise.functions import strings, text, traits
-from samewise.operators import anchors, names
+from samewise.operators import anchors, clusters, names, pairs, similar, tables
 
 FAMILIES = {"COOP": r"\bS ?COOP\b|COOPERATIV", "SL": r"\bSL\b|\bSRL\b|\bLTDA\b", "SA": r"\bSAU?\b", "LTD": r"\bLTD\b"}
 text.register_locale("LINKING", "ES", "EN", extra=("S COOP", "COOP"))
@@ -132,6 +132,19 @@ def test_name_similarity_against_plain_python(spark):
     assert sum(r["USO_CONTENCION"] for r in got) > 3
 
 
+def test_no_table_passes_the_driver(spark, monkeypatch):
+    # texts and their traits were broadcast before, as Parquet makes them small
+    seen = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for module in (anchors, clusters, pairs, similar):
+        monkeypatch.setattr(module, "stored", lambda df, name="step": seen.append(plan(df)) or tables.stored(df, name))
+    rows = [("ES", f"{n}{f}", False) for n in ("Zelvora Alimentos", "Zelvora Alimento", "Zel Vora Alimentos", "Kramento") for f in ("", " SA", " SL")]
+    said = spark.createDataFrame([("ES|Kramento", "ES|Zelvora Alimento", "DISTINTA", "ana", 1)], anchors.NO_DECISIONS)
+    got = anchors.dedupe_anchors(spark.createDataFrame(rows, "country string, name string, cut boolean"), RULES, said)
+    seen += [plan(d) for d in (got.spellings, got.unions, got.pending)]
+    assert got.spellings.count() == 12 and len(seen) > 15 and not any("Broadcast" in p for p in seen)
+
+
 def test_traits_are_worked_out_once(spark, monkeypatch):
     # 30 countries and three legal forms of the same two texts: 540 pairs of spellings went to Python before
     rows = [(f"C{c:02d}", f"{n}{f}", False) for c in range(30) for n in ("Zelvora Alimentos", "Zelvora Alimento") for f in ("", " SA", " SL")]
